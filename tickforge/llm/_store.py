@@ -38,3 +38,10 @@ def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
 def text_of(docs: DataFrame, *keep: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the columns an operator needs, so that others (of any name) cannot clash with its own."""
     return docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").cast("string").alias(text_col), *[F.col(f"`{k}`") for k in keep])
+
+
+def where(df: DataFrame, condition) -> DataFrame:
+    """A filter that stays where it stands. One that is pushed down takes a copy of each expression it reads along; with
+    stacked array functions such copies multiply."""
+    holds = F.when(F.expr(condition) if isinstance(condition, str) else condition, 1).otherwise(-1)
+    return df.filter(F.rand(0) + holds > 0)  # rand is in [0, 1)

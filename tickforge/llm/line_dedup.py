@@ -20,7 +20,7 @@ from functools import lru_cache, reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._store import small, text_of, written
+from ._store import small, text_of, where, written
 
 TRIM = " \t\r\x0b\x0c"
 
@@ -176,7 +176,7 @@ def dedup_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, min_edit_c
 
 def filter_documents(docs: DataFrame, chars_col: str = "n_chars") -> DataFrame:
     """The pipeline's stage: lines go, and documents of which no word is left though there was one."""
-    out = dedup_lines(docs).filter("n_lines_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
+    out = where(dedup_lines(docs), (F.col("n_lines_removed") == 0) | F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")))
     if chars_col in docs.columns:
         out = out.withColumn(chars_col, F.length("text").cast(docs.schema[chars_col].dataType))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

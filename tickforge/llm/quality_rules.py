@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._store import text_of
+from ._store import text_of, written
 
 WS = r"[\x20\x09-\x0D]"
 NOT_WS = r"[^\x20\x09-\x0D]"
@@ -104,7 +104,7 @@ def filter_documents(docs: DataFrame, rules: Rules | None = None, text_col: str
     cols = docs.columns
     rest = [c for c in cols if c != text_col]
     inner = docs.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(rest)], F.col(f"`{text_col}`").alias("__text"), F.lit(0).alias("__id"))
-    out = judge(inner, rules, "__id", "__text", tuple(f"__c{i}" for i in range(len(rest)))).filter("kept")
+    out = written(judge(inner, rules, "__id", "__text", tuple(f"__c{i}" for i in range(len(rest)))).drop("__id"), "judged").filter("kept")
     back = {c: F.col(f"__c{i}") for i, c in enumerate(rest)} | {text_col: F.col("clean_text")}
     if chars_col in back:
         back[chars_col] = F.length("clean_text").cast(docs.schema[chars_col].dataType)
