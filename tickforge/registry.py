@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from .plans.queries import CATALOG, flagship
+
+__all__ = ["flagship", "oracle_sql", "queries"]
+
 
 def queries() -> dict:
-    return {}
+    return {name: f for name, (f, _) in CATALOG.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in CATALOG.items() if sql}
