@@ -187,21 +187,50 @@ def _windows(span: int, width: int, bits: int, buckets: int, sketch):
     return run
 
 
-def _grouped(width: int):
+def _packed(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, parts: int) -> pd.DataFrame:
+    """Ranges by parts of ids: at most as many rows as parts."""
+    part = (ids.view(U) % U(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    cut = np.flatnonzero(np.diff(part[order], prepend=-1))
+    rows = [order[i:j] for i, j in zip(cut, [*cut[1:], len(order)], strict=True)]
+    cols = {"ids": ids, "starts": starts.astype(np.int32), "ends": ends.astype(np.int32)}
+    return pd.DataFrame({"part": pd.Series([int(part[r[0]]) for r in rows], dtype="int32"), **{c: pd.Series([v[r].tobytes() for r in rows], dtype=object) for c, v in cols.items()}})
+
+
+def _ranges(own: list[int], spans: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    flat = np.frombuffer(b"".join(spans), np.int32).reshape(-1, 2)
+    return np.repeat(np.array(own, np.int64), [len(x) // 8 for x in spans]), flat[:, 0], flat[:, 1]
+
+
+def _settled(width: int, parts: int):
+    """Of one bucket: ranges settled before as they are, and those of windows that repeat here."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        cat = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
-        counts = cat("counts", np.int32)
-        wh = cat("wh", U)
-        v = np.repeat(cat("v", U), counts)
-        dup, _ = _repeated(v, wh)
-        shift = np.arange(len(wh)) - np.repeat(np.cumsum(counts) - counts, counts)
-        ids, starts = np.repeat(cat("ids", np.int64), counts), np.repeat(cat("starts", np.int32), counts) + shift
-        own, spans = _spans(ids[dup], starts[dup], width) if dup.any() else ([], [])
-        return pd.DataFrame({"id": pd.Series(own, dtype="int64"), "spans": pd.Series(spans, dtype=object)})
+        done, rest = pdf[pdf["kind"] == 1], pdf[pdf["kind"] == 0]
+        found = [_ranges(done["id"].tolist(), done["spans"].tolist())]
+        if len(rest):
+            cat = lambda c, t: np.frombuffer(b"".join(rest[c]), t)
+            counts = cat("counts", np.int32)
+            wh = cat("wh", U)
+            dup, _ = _repeated(np.repeat(cat("v", U), counts), wh)
+            shift = np.arange(len(wh)) - np.repeat(np.cumsum(counts) - counts, counts)
+            ids, starts = np.repeat(cat("ids", np.int64), counts), np.repeat(cat("starts", np.int32), counts) + shift
+            if dup.any():
+                found.append(_ranges(*_spans(ids[dup], starts[dup], width)))
+        return _packed(*(np.concatenate(x) for x in zip(*found, strict=True)), parts)
 
     return run
 
 
+def _joined(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one part of the ids: a row for each id with its ranges."""
+    ids, starts, ends = (np.frombuffer(b"".join(pdf[c]), t) for c, t in (("ids", np.int64), ("starts", np.int32), ("ends", np.int32)))
+    order = np.argsort(ids, kind="stable")
+    ids, both = ids[order], np.stack([starts[order], ends[order]], axis=1)
+    cut = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, np.int64)
+    return pd.DataFrame({"id": pd.Series(ids[cut], dtype="int64"), "spans": pd.Series([both[i:j].tobytes() for i, j in zip(cut, [*cut[1:], len(ids)], strict=True)], dtype=object)})
+
+
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         covers = batch.column(1)
@@ -211,7 +240,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep = np.ones(len(w.starts), bool)
             for d in range(i, j):
                 if (c := covers[d].as_py()) is not None:
-                    for a, b in np.frombuffer(b"".join(c), np.int32).reshape(-1, 2).tolist():
+                    for a, b in np.frombuffer(c, np.int32).reshape(-1, 2).tolist():
                         keep[w.first[d - i] + a : w.first[d - i] + b] = False
             raw = data.tobytes()
             starts, ends = w.starts.tolist(), w.ends.tolist()
@@ -239,26 +268,14 @@ def remove_repeated_windows(docs: DataFrame, width: int = 35, span: int = 16, ma
     shared = spark.sparkContext.broadcast([bytes(x) for x in sketch])
     hits = src.select(F.xxhash64(id_col, text_col), text_col).mapInArrow(_windows(span, width, bits, buckets, shared), COVER)
     hits = hits.withColumn("bucket", F.coalesce("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")))
-    both = hits.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_settled(width), "id long, spans binary")
-    cover = written(both.groupBy("id").agg(F.collect_list("spans").alias("spans")), "spans")
+    both = hits.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_settled(width, buckets), "part int, ids binary, starts binary, ends binary")
+    cover = written(both.groupBy("part").applyInPandas(_joined, "id long, spans binary"), "spans")
     shared.unpersist()
     joined = src.withColumn("__id", F.xxhash64(id_col, text_col)).join(cover.withColumnRenamed("id", "__id"), "__id", "left")
     out = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType()), src.schema[id_col]])
     return joined.select(text_col, "spans", id_col).mapInArrow(_kept, out).select(id_col, "n_words", "n_removed", "kept_text")
 
 
-def _settled(width: int):
-    group = _grouped(width)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        done = pdf[pdf["kind"] == 1]
-        rest = pdf[pdf["kind"] == 0]
-        own = pd.DataFrame({"id": done["id"].astype("int64"), "spans": done["spans"]})
-        return pd.concat([own, group(rest)]) if len(rest) else own
-
-    return run
-
-
 def query(spark, sf_dir: str) -> DataFrame:
     """op6: every window of 35 words that starts anywhere else too is removed."""
     out = remove_repeated_windows(spark.read.parquet(f"{sf_dir}/documents.parquet"))
