@@ -6,7 +6,7 @@ compared without surrounding white space; lines under ``min_chars`` code points
 128-bit hash; only the first of them goes on. It is split into ``edits`` + 1 segments: a line within that distance has one
 of them whole, at a place that the lengths and the segment's number narrow down. Keys of length, segment number and
 content are joined, and pairs that meet are verified with a bit-parallel edit distance over a band of 2 * edits + 1
-diagonals, kept in the bits of one integer. Counts of eight letters are compared first: an edit changes two at most.
+diagonals, kept in the bits of one integer. Counts of 24 characters are compared first: an edit changes two at most.
 
 Null texts stay null, empty ones empty; blank lines stay. Rows that share an id are one document of which each row keeps
 the line numbers kept. Null ids come before all others. Ties: of equal lines the first in order stays. Extra columns of any
@@ -109,65 +109,92 @@ def cut_ends(pairs: DataFrame, step: int = 32) -> DataFrame:
         equal = F.transform(F.when(last < 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), last)), lambda i: same(i * step + 1, i * step + 1) if front else same(n - (i + 1) * step + 1, m - (i + 1) * step + 1))  # noqa: B023
         found = F.array_position(equal, False)
         pairs = written(pairs.select("*", (step * F.when(found == 0, F.size(equal)).otherwise(found - 1)).cast("int").alias("cut")), "cut")
-        pairs = pairs.select("doc_b", "pos_b", *[(F.substring(c, F.col("cut") + 1, F.length(c)) if front else F.substring(c, F.lit(1), F.length(c) - F.col("cut"))).alias(c) for c in ("x", "y")])
+        pairs = pairs.select("h", *[(F.substring(c, F.col("cut") + 1, F.length(c)) if front else F.substring(c, F.lit(1), F.length(c) - F.col("cut"))).alias(c) for c in ("x", "y")])
     return written(pairs, "cut")
 
 
+def trimmed(c: Column) -> Column:
+    """c without white space around it; most lines have none, which two looks at the ends tell."""
+    edge = reduce(lambda x, y: x | y, [f(c, F.lit(t)) for t in TRIM for f in (F.startswith, F.endswith)])
+    return F.when(edge, F.trim(c, F.lit(TRIM))).otherwise(c)
+
+
 #: Letters of which a line's numbers are compared before its characters are.
-LETTERS = "entriaos"
+LETTERS = ("abcdefgh", "iklmnopr", "stuvwy.,")
 
 
-def letter_counts(line: Column, length: Column) -> Column:
-    """Eight bits for each letter: how often it occurs, 255 at most. An edit changes the counts by two altogether."""
+def letter_counts(line: Column, letters: str) -> Column:
+    """Eight bits for each letter: how often it occurs, 255 at most. An edit changes all counts by two altogether."""
     out = F.lit(0).cast("long")
-    for k, c in enumerate(LETTERS):
-        out = out + F.call_function("shiftleft", F.least(length - F.length(F.replace(line, F.lit(c), F.lit(""))), F.lit(255 if k < 7 else 127)).cast("long"), F.lit(8 * k))
+    for k, c in enumerate(letters):
+        out = out + F.call_function("shiftleft", F.least(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))), F.lit(255 if k < 7 else 127)).cast("long"), F.lit(8 * k))
     return out
 
 
-def count_distance(a: Column, b: Column) -> Column:
-    field = lambda v, k: F.call_function("shiftright", v, F.lit(8 * k)).bitwiseAND(F.lit(255))
-    return reduce(lambda x, y: x + y, [F.abs(field(a, k) - field(b, k)) for k in range(len(LETTERS))])
+def count_distance(a: str, b: str) -> Column:
+    field = lambda v, k: F.call_function("shiftright", F.col(v), F.lit(8 * k)).bitwiseAND(F.lit(255))
+    return reduce(lambda x, y: x + y, [F.abs(field(f"{a}.c{g}", k) - field(f"{b}.c{g}", k)) for g, of in enumerate(LETTERS) for k in range(len(of))])
+
+
+def verified(pairs: DataFrame, text: DataFrame, edits: int) -> DataFrame:
+    """Of (early, late) hashes of lines, the late ones whose line is within ``edits`` of the early one's."""
+    both = pairs.join(text.select(F.col("h").alias("early"), F.col("line").alias("l")), "early").join(text.select(F.col("h").alias("late"), F.col("line").alias("r")), "late")
+    longer = F.length("r") >= F.length("l")
+    both = both.select(F.col("late").alias("h"), F.when(longer, F.col("l")).otherwise(F.col("r")).alias("x"), F.when(longer, F.col("r")).otherwise(F.col("l")).alias("y"))
+    return written(cut_ends(both).filter(within(F.col("x"), F.col("y"), edits)).select("h").distinct(), "near")
 
 
 def first_lines(docs: DataFrame, edits: int, min_chars: int, min_edit_chars: int) -> tuple[DataFrame, DataFrame]:
-    """(lines, near): the first of equal long lines (doc, pos, and what the join needs), and of them those to remove."""
-    spark = docs.sparkSession
-    lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("pos", "raw")).select("doc", "pos", F.trim("raw", F.lit(TRIM)).alias("line"))
+    """(lines, near): the first of equal long lines (doc, pos, h), and of them (h) those to remove.
+
+    Of the keys, only those go on that an indexed and another line have; their lines alone are read and counted by letters.
+    A group of lines that are all alike must not make a pair of every two: each line meets the first line of its keys
+    before, and only those that this did not remove look for other earlier lines."""
+    lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("pos", "raw")).select("doc", "pos", trimmed(F.col("raw")).alias("line"))
     lines = lines.withColumn("len", F.length("line")).filter(F.col("len") >= min_chars)
     todo = probes(edits)
+    # the keys stand in no condition: there, common parts would be computed anew for each, in code too long to be compiled
     keys = F.array(*[segment_key(F.col("line"), F.col("len"), edits, *x) for x in todo])
-    slim = lines.select("doc", "pos", F.unhex(F.md5("line")).alias("h"), F.when(F.col("len") >= min_edit_chars, keys).alias("keys"), F.when(F.col("len") >= min_edit_chars, letter_counts(F.col("line"), F.col("len"))).alias("letters"))
-    firsts = written(slim.groupBy("h").agg(F.min(F.struct("doc", "pos")).alias("at"), F.first("keys").alias("keys"), F.first("letters").alias("letters")).select(F.col("at.doc").alias("doc"), F.col("at.pos").alias("pos"), "keys", "letters"), "firsts")
+    slim = lines.select("doc", "pos", "len", F.unhex(F.md5("line")).alias("h"), keys.alias("keys"))
+    firsts = slim.groupBy("h").agg(F.min(F.struct("doc", "pos")).alias("at"), F.first("len").alias("len"), F.first("keys").alias("keys"))
+    firsts = written(firsts.select("h", F.col("at.doc").alias("doc"), F.col("at.pos").alias("pos"), F.when(F.col("len") >= min_edit_chars, F.col("keys")).alias("keys")), "firsts")
+
     own = [k for k, x in enumerate(todo) if x[0] == 0 and x[2] == 0]
-    index = firsts.select(F.explode(F.array(*[F.get("keys", F.lit(k)) for k in own])).alias("key"), F.col("doc").alias("doc_b"), F.col("pos").alias("pos_b"), F.col("letters").alias("letters_b")).filter("key is not null")
-    probe = firsts.select(F.explode("keys").alias("key"), "doc", "pos", "letters").filter("key is not null")
-    same = (F.col("doc").eqNullSafe(F.col("doc_b"))) & (F.col("pos") == F.col("pos_b"))
-    met = probe.join(index.hint("shuffle_hash"), "key").filter(~same & (count_distance(F.col("letters"), F.col("letters_b")) <= 2 * edits))
-    a, b = F.struct("doc", "pos"), F.struct(F.col("doc_b").alias("doc"), F.col("pos_b").alias("pos"))
-    pairs = written(met.select(F.least(a, b).alias("early"), F.greatest(a, b).alias("late")).distinct().select("early.*", F.col("late.doc").alias("doc_b"), F.col("late.pos").alias("pos_b")), "pairs")
-    need = written(pairs.select("doc", "pos").union(pairs.select("doc_b", "pos_b")).distinct(), "need")
-    mine = small(need.groupBy("doc").agg(F.collect_list("pos").alias("at")))
-    text = docs.join(mine.withColumnRenamed("doc", "d2"), F.col("doc").eqNullSafe(F.col("d2"))).select("doc", F.split("text", "\n").alias("l"), F.explode("at").alias("pos"))
-    text = written(text.select("doc", "pos", F.trim(F.get("l", "pos"), F.lit(TRIM)).alias("line")).filter("line is not null").dropDuplicates(["doc", "pos"]), "texts")
-    left = pairs.join(text.select("doc", "pos", F.col("line").alias("x")), ["doc", "pos"])
-    right = left.join(text.select(F.col("doc").alias("doc_b"), F.col("pos").alias("pos_b"), F.col("line").alias("y")), ["doc_b", "pos_b"])
-    long = F.when(F.length("x") >= F.length("y"), F.col("x")).otherwise(F.col("y"))
-    short = F.when(F.length("x") >= F.length("y"), F.col("y")).otherwise(F.col("x"))
-    near = written(cut_ends(right.select("doc_b", "pos_b", short.alias("x"), long.alias("y"))).filter(within(F.col("x"), F.col("y"), edits)).select(F.col("doc_b").alias("doc"), F.col("pos_b").alias("pos")).distinct(), "near")
-    return firsts.select("doc", "pos"), near
+    each = firsts.filter("keys is not null").select("h", "doc", "pos", F.posexplode("keys").alias("probe", "key")).filter("key is not null").withColumn("own", F.col("probe").isin(own))
+    shared = written(each.groupBy("key").agg(F.max("own").alias("own"), F.count(F.lit(1)).alias("n")).filter("own and n > 1").select("key"), "shared")
+    hits = written(each.join(small(shared), "key").select("key", "h", "doc", "pos", "own"), "hits")
+
+    mine = small(written(hits.select("h", "doc", "pos").distinct().groupBy("doc").agg(F.collect_list(F.struct("pos", "h")).alias("at")), "need").withColumnRenamed("doc", "d2"))
+    text = docs.join(mine, F.col("doc").eqNullSafe(F.col("d2"))).select(F.split("text", "\n").alias("l"), "at")
+    text = text.select(F.inline(F.transform("at", lambda x: F.struct(x["h"].alias("h"), F.get("l", x["pos"]).alias("line"))))).select("h", trimmed(F.col("line")).alias("line")).filter(F.unhex(F.md5("line")) == F.col("h")).dropDuplicates(["h"])
+    text = written(text, "texts")
+    counts = [letter_counts(F.col("line"), of).alias(f"c{g}") for g, of in enumerate(LETTERS)]
+    facts = written(text.select("h", F.length("line").alias("len"), *counts), "facts")
+    hits = written(hits.select("key", "own", "h", F.struct("doc", "pos", "h").alias("at")).join(small(facts), "h"), "hits")
+
+    close = count_distance("a", "b") <= 2 * edits
+    heads = hits.filter("own").groupBy("key").agg(F.min_by(F.struct("at", "c0", "c1", "c2"), "at").alias("head")).select("key", "head.*")
+    met = hits.alias("a").join(heads.alias("b"), "key").filter((F.col("b.at") < F.col("a.at")) & close)
+    near = verified(written(met.select(F.col("b.at.h").alias("early"), F.col("a.h").alias("late")).distinct(), "pairs"), text, edits)
+
+    left = hits.join(small(near.withColumn("gone", F.lit(True))), "h", "left")
+    late = F.when(F.col("a.at") < F.col("b.at"), F.col("b.gone")).otherwise(F.col("a.gone"))
+    once = (F.col("a.len") != F.col("b.len")) | (F.col("a.h") < F.col("b.h"))  # lines of one length meet from both sides
+    met = left.alias("a").join(left.filter("own").alias("b").hint("shuffle_hash"), "key").filter((F.col("a.h") != F.col("b.h")) & once & late.isNull() & close)
+    pairs = met.select(F.least("a.at", "b.at").getField("h").alias("early"), F.greatest("a.at", "b.at").getField("h").alias("late")).distinct()
+    return firsts.select("doc", "pos", "h"), near.union(verified(written(pairs, "pairs"), text, edits))
 
 
 def dedup_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, min_edit_chars: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with text_col cleaned, and n_lines and n_lines_removed behind the columns (which must not have those names)."""
     src = text_of(docs, id_col=id_col, text_col=text_col).select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
     firsts, near = first_lines(src, edits, min_chars, min_edit_chars)
-    kept = firsts.join(near, ["doc", "pos"], "left_anti") if dict(firsts.dtypes)["doc"] else firsts
-    kept = written(kept.groupBy("doc").agg(F.collect_list("pos").alias("__keep")), "kept").withColumnRenamed("doc", "__doc")
+    kept = firsts.join(near, "h", "left_anti")
+    kept = written(kept.groupBy("doc").agg(F.collect_set("pos").alias("__keep")), "kept").withColumnRenamed("doc", "__doc")
     cols = [F.col(f"d.`{c}`") for c in docs.columns]
     joined = docs.alias("d").join(kept, F.col(f"d.`{id_col}`").eqNullSafe(F.col("__doc")), "left")
     lines = joined.select(*cols, F.split(F.col(f"d.`{text_col}`"), "\n").alias("__l"), F.coalesce("__keep", F.array().cast("array<int>")).alias("__keep"))
-    short = F.filter(F.transform("__l", lambda x, i: F.when(F.length(F.trim(x, F.lit(TRIM))) < min_chars, i)), lambda i: i.isNotNull())
+    short = F.filter(F.transform("__l", lambda x, i: F.when(F.length(trimmed(x)) < min_chars, i)), lambda i: i.isNotNull())
     lines = lines.select(*[F.col(f"`{c}`") for c in docs.columns], "__l", F.sort_array(F.array_union(short, "__keep")).alias("__at"))
     text = F.when(F.size("__at") == F.size("__l"), F.col(f"`{text_col}`")).otherwise(F.array_join(F.filter(F.transform("__at", lambda i: F.get("__l", i)), lambda x: x.isNotNull()), "\n"))
     out = lines.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.size("__l"), F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.size("__l") - F.size("__at"), F.lit(0)).cast("long").alias("n_lines_removed"))
