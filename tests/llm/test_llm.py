@@ -102,6 +102,16 @@ def test_line_dedup(spark, docs):
     assert line_dedup.dedup_lines(docs.select("doc_id", "text", "lang")).count() == docs.count()
 
 
+def test_line_dedup_groups_and_shared_ids(spark):
+    alike = [(k, f"{'all lines of this group differ by their number only':<60}{k:04d} end") for k in range(100, 160)]
+    far = [(k, f"a line with other words before its number {k * 7919 % 9973:04d}{k * 104729 % 9973:04d}{k * 1299709 % 9973:04d}") for k in range(200, 220)]
+    table = alike + far + [(None, alike[0][1]), (None, far[0][1] + "x"), (900, far[1][1]), (900, far[2][1] + "x"), (901, ""), (902, None)]
+    order = sorted((x for x in table if x[1]), key=lambda x: (-1 if x[0] is None else x[0]))
+    gone = {(k, x) for n, (k, x) in enumerate(order) if any(abs(len(x) - len(y)) <= 2 and edit_distance(x, y) <= 2 for j, y in order[:n] if j != k)}
+    got = line_dedup.dedup_lines(spark.createDataFrame(table, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted((str(k), "" if (k, x) in gone else str(x)) for k, x in table)
+
+
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_sql(spark, name):
     c = duckdb.connect()
