@@ -112,6 +112,27 @@ def test_line_dedup_groups_and_shared_ids(spark):
     assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted((str(k), "" if (k, x) in gone else str(x)) for k, x in table)
 
 
+def test_line_dedup_short_lines(spark):
+    r = random.Random(3)
+    base = ["".join(r.choice("abcdef gh") for _ in range(n)).strip() + "." for n in (1, 5, 12, 18, 19, 20, 21, 30, 37, 38, 39, 40, 41, 42)]
+    lines = ["}", "Of, edti oner.", "", " ", "Of, edti oner. ", "\t}"]
+    for _ in range(240):
+        x = list(r.choice(base))
+        for _ in range(r.randint(0, 3)):
+            at, kind = r.randrange(len(x)), r.randrange(3)
+            x[at : at + (kind < 2)] = [r.choice("xyz")] * (kind > 0)
+            x = x or ["x"]
+        lines.append("".join(x))
+    table = [(k, "\n".join(lines[6 * k : 6 * k + 6])) for k in range(41)]
+    flat = [x.strip() for x in lines]
+    may = lambda x, y: min(2, min(len(x), len(y)) // 20)
+    kept = [not x or not any(x == y or abs(len(x) - len(y)) <= may(x, y) and edit_distance(x, y) <= may(x, y) for y in flat[:n]) for n, x in enumerate(flat)]
+    near = [n for n, x in enumerate(flat) if not kept[n] and x not in flat[:n]]
+    assert any(20 <= len(flat[n]) < 39 for n in near) and any(len(flat[n]) > 40 for n in near)
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+    assert got == {k: "\n".join(lines[n] for n in range(6 * k, 6 * k + 6) if kept[n]) for k, _ in table}
+
+
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_sql(spark, name):
     c = duckdb.connect()

@@ -1,10 +1,10 @@
 """Line dedup with a segment-partition edit join, in DataFrame functions only.
 
-A line goes if an equal line stands earlier (by id, then line number), or if a line within ``edits`` edits does. Lines are
-compared without surrounding white space; lines under ``min_chars`` code points always stay, and only lines of
-``min_edit_chars`` or more are compared by edits (in shorter ones two edits make another line). Equal lines meet by a
-128-bit hash; only the first of them goes on. It is split into ``edits`` + 1 segments: a line within that distance has one
-of them whole, at a place that the lengths and the segment's number narrow down. Keys of length, segment number and
+A line goes if an equal line stands earlier (by id, then line number), or if a line within the edits allowed does. Lines
+are compared without surrounding white space, equal ones at any length. Edits are allowed by the share of the shorter
+line's length: all ``edits`` from ``min_edit_chars`` code points on, in proportion fewer below, rounded down. Equal lines
+meet by a 128-bit hash; only the first of them goes on. It is split into one segment more than it is allowed edits: a line
+within that distance has one of them whole, at a place that the lengths and the segment's number narrow down. Keys of length, segment number and
 content are joined, and pairs that meet are verified with a bit-parallel edit distance over a band of 2 * edits + 1
 diagonals, kept in the bits of one integer. Counts of 24 characters are compared first: an edit changes two at most.
 
@@ -30,14 +30,21 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
     return [(d, i, s) for d in range(edits + 1) for i in range(edits + 1) for s in range(max(-i, d - (edits - i)), min(i, d + edits - i) + 1)]
 
 
-def segment_key(line: Column, length: Column, edits: int, d: int, i: int, shift: int) -> Column:
+def allowed(length: Column, edits: int, min_edit_chars: int) -> Column:
+    """How many edits a pair may have whose shorter line is so long."""
+    return F.greatest(F.lit(0), F.least(F.lit(edits), F.floor(length * edits / min_edit_chars).cast("int")))
+
+
+def segment_key(line: Column, length: Column, most: Column, edits: int, d: int, i: int, shift: int) -> Column:
+    """most: the edits allowed at the shorter line's length, length - d; null where a pair of so many has no such probe."""
     n = length - d
-    base = F.floor(n / (edits + 1)).cast("int")
-    first_long = (edits + 1) - (n - base * (edits + 1))
+    fits = [k for k in range(1, edits + 1) if (d, i, shift) in probes(k)]
+    base = F.floor(n / (most + 1)).cast("int")
+    first_long = (most + 1) - (n - base * (most + 1))
     begin = base * i + F.greatest(F.lit(0), F.lit(i) - first_long)
     size = base + (F.lit(i) >= first_long).cast("int")
     at = begin + shift
-    return F.when((at >= 0) & (at + size <= length), F.xxhash64(n.cast("int"), F.lit(i), F.substring(line, at + 1, size)))
+    return F.when(most.isin(fits) & (at >= 0) & (at + size <= length), F.xxhash64(n.cast("int"), F.lit(i), F.substring(line, at + 1, size)))
 
 
 def band_step(eq: int, vp: int, vn: int, edits: int) -> tuple[int, int, int]:
@@ -66,8 +73,8 @@ def band_table(edits: int) -> tuple[list[int], list[tuple[int, int]]]:
     return table, states
 
 
-def within(a: Column, b: Column, edits: int) -> Column:
-    """Whether strings, of which b has 0 to ``edits`` characters more than a, are within that edit distance.
+def within(a: Column, b: Column, edits: int, most: Column) -> Column:
+    """Whether strings, of which b has 0 to ``edits`` characters more than a, are within ``most`` edits, ``edits`` at most.
 
     Row j of the table is b's j-th character; bit x of the band is the cell of a's character j - edits + x. The steps of
     the bit-parallel recurrence come from a table by state, and what is carried is 256 * distance + state. The
@@ -94,9 +101,9 @@ def within(a: Column, b: Column, edits: int) -> Column:
 
         end = F.aggregate(F.slice(F.sequence(F.lit(0), n), 1, n), F.lit(edits * wide), step)
         fix = lambda s: F.call_function("shiftright", s, F.lit((wide - 1).bit_length())) + F.get(F.array(*[F.lit(u) for u in ups]), s.bitwiseAND(F.lit(wide - 1)) * width + (F.lit(edits) + n - m))
-        return F.get(F.transform(F.array(end), fix), F.lit(0)) <= edits
+        return F.get(F.transform(F.array(end), fix), F.lit(0))
 
-    return F.get(F.transform(F.array(F.struct(F.array_remove(F.split(a, ""), "").alias("p"), F.array_remove(F.split(b, ""), "").alias("t"))), body), F.lit(0))
+    return most >= F.get(F.transform(F.array(F.struct(F.array_remove(F.split(a, ""), "").alias("p"), F.array_remove(F.split(b, ""), "").alias("t"))), body), F.lit(0))
 
 
 def cut_ends(pairs: DataFrame, step: int = 32) -> DataFrame:
@@ -109,7 +116,7 @@ def cut_ends(pairs: DataFrame, step: int = 32) -> DataFrame:
         equal = F.transform(F.when(last < 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), last)), lambda i: same(i * step + 1, i * step + 1) if front else same(n - (i + 1) * step + 1, m - (i + 1) * step + 1))  # noqa: B023
         found = F.array_position(equal, False)
         pairs = written(pairs.select("*", (step * F.when(found == 0, F.size(equal)).otherwise(found - 1)).cast("int").alias("cut")), "cut")
-        pairs = pairs.select("h", *[(F.substring(c, F.col("cut") + 1, F.length(c)) if front else F.substring(c, F.lit(1), F.length(c) - F.col("cut"))).alias(c) for c in ("x", "y")])
+        pairs = pairs.select("h", "most", *[(F.substring(c, F.col("cut") + 1, F.length(c)) if front else F.substring(c, F.lit(1), F.length(c) - F.col("cut"))).alias(c) for c in ("x", "y")])
     return written(pairs, "cut")
 
 
@@ -136,28 +143,30 @@ def count_distance(a: str, b: str) -> Column:
     return reduce(lambda x, y: x + y, [F.abs(field(f"{a}.c{g}", k) - field(f"{b}.c{g}", k)) for g, of in enumerate(LETTERS) for k in range(len(of))])
 
 
-def verified(pairs: DataFrame, text: DataFrame, edits: int) -> DataFrame:
-    """Of (early, late) hashes of lines, the late ones whose line is within ``edits`` of the early one's."""
+def verified(pairs: DataFrame, text: DataFrame, edits: int, min_edit_chars: int) -> DataFrame:
+    """Of (early, late) hashes of lines, the late ones whose line is within the edits allowed of the early one's."""
     both = pairs.join(text.select(F.col("h").alias("early"), F.col("line").alias("l")), "early").join(text.select(F.col("h").alias("late"), F.col("line").alias("r")), "late")
     longer = F.length("r") >= F.length("l")
     both = both.select(F.col("late").alias("h"), F.when(longer, F.col("l")).otherwise(F.col("r")).alias("x"), F.when(longer, F.col("r")).otherwise(F.col("l")).alias("y"))
-    return written(cut_ends(both).filter(within(F.col("x"), F.col("y"), edits)).select("h").distinct(), "near")
+    both = both.withColumn("most", allowed(F.length("x"), edits, min_edit_chars))
+    return written(cut_ends(both).filter(within(F.col("x"), F.col("y"), edits, F.col("most"))).select("h").distinct(), "near")
 
 
-def first_lines(docs: DataFrame, edits: int, min_chars: int, min_edit_chars: int) -> tuple[DataFrame, DataFrame]:
-    """(lines, near): the first of equal long lines (doc, pos, h), and of them (h) those to remove.
+def first_lines(docs: DataFrame, edits: int, min_edit_chars: int) -> tuple[DataFrame, DataFrame]:
+    """(lines, near): the first of equal lines (doc, pos, h), and of them (h) those to remove.
 
     Of the keys, only those go on that an indexed and another line have; their lines alone are read and counted by letters.
     A group of lines that are all alike must not make a pair of every two: each line meets the first line of its keys
     before, and only those that this did not remove look for other earlier lines."""
     lines = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("pos", "raw")).select("doc", "pos", trimmed(F.col("raw")).alias("line"))
-    lines = lines.withColumn("len", F.length("line")).filter(F.col("len") >= min_chars)
+    lines = lines.withColumn("len", F.length("line")).filter(F.col("len") > 0)
     todo = probes(edits)
     # the keys stand in no condition: there, common parts would be computed anew for each, in code too long to be compiled
-    keys = F.array(*[segment_key(F.col("line"), F.col("len"), edits, *x) for x in todo])
+    lines = lines.select("*", *[allowed(F.col("len") - d, edits, min_edit_chars).alias(f"most{d}") for d in range(edits + 1)])
+    keys = F.array(*[segment_key(F.col("line"), F.col("len"), F.col(f"most{x[0]}"), edits, *x) for x in todo])
     slim = lines.select("doc", "pos", "len", F.unhex(F.md5("line")).alias("h"), keys.alias("keys"))
     firsts = slim.groupBy("h").agg(F.min(F.struct("doc", "pos")).alias("at"), F.first("len").alias("len"), F.first("keys").alias("keys"))
-    firsts = written(firsts.select("h", F.col("at.doc").alias("doc"), F.col("at.pos").alias("pos"), F.when(F.col("len") >= min_edit_chars, F.col("keys")).alias("keys")), "firsts")
+    firsts = written(firsts.select("h", F.col("at.doc").alias("doc"), F.col("at.pos").alias("pos"), F.when(allowed(F.col("len"), edits, min_edit_chars) > 0, F.col("keys")).alias("keys")), "firsts")
 
     own = [k for k, x in enumerate(todo) if x[0] == 0 and x[2] == 0]
     each = firsts.filter("keys is not null").select("h", "doc", "pos", F.posexplode("keys").alias("probe", "key")).filter("key is not null").withColumn("own", F.col("probe").isin(own))
@@ -172,30 +181,30 @@ def first_lines(docs: DataFrame, edits: int, min_chars: int, min_edit_chars: int
     facts = written(text.select("h", F.length("line").alias("len"), *counts), "facts")
     hits = written(hits.select("key", "own", "h", F.struct("doc", "pos", "h").alias("at")).join(small(facts), "h"), "hits")
 
-    close = count_distance("a", "b") <= 2 * edits
-    heads = hits.filter("own").groupBy("key").agg(F.min_by(F.struct("at", "c0", "c1", "c2"), "at").alias("head")).select("key", "head.*")
+    close = count_distance("a", "b") <= 2 * allowed(F.least("a.len", "b.len"), edits, min_edit_chars)
+    heads = hits.filter("own").groupBy("key").agg(F.min_by(F.struct("at", "len", "c0", "c1", "c2"), "at").alias("head")).select("key", "head.*")
     met = hits.alias("a").join(heads.alias("b"), "key").filter((F.col("b.at") < F.col("a.at")) & close)
-    near = verified(written(met.select(F.col("b.at.h").alias("early"), F.col("a.h").alias("late")).distinct(), "pairs"), text, edits)
+    near = verified(written(met.select(F.col("b.at.h").alias("early"), F.col("a.h").alias("late")).distinct(), "pairs"), text, edits, min_edit_chars)
 
     left = hits.join(small(near.withColumn("gone", F.lit(True))), "h", "left")
     late = F.when(F.col("a.at") < F.col("b.at"), F.col("b.gone")).otherwise(F.col("a.gone"))
     once = (F.col("a.len") != F.col("b.len")) | (F.col("a.h") < F.col("b.h"))  # lines of one length meet from both sides
     met = left.alias("a").join(left.filter("own").alias("b").hint("shuffle_hash"), "key").filter((F.col("a.h") != F.col("b.h")) & once & late.isNull() & close)
     pairs = met.select(F.least("a.at", "b.at").getField("h").alias("early"), F.greatest("a.at", "b.at").getField("h").alias("late")).distinct()
-    return firsts.select("doc", "pos", "h"), near.union(verified(written(pairs, "pairs"), text, edits))
+    return firsts.select("doc", "pos", "h"), near.union(verified(written(pairs, "pairs"), text, edits, min_edit_chars))
 
 
-def dedup_lines(docs: DataFrame, edits: int = 2, min_chars: int = 20, min_edit_chars: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = 2, min_edit_chars: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with text_col cleaned, and n_lines and n_lines_removed behind the columns (which must not have those names)."""
     src = text_of(docs, id_col=id_col, text_col=text_col).select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
-    firsts, near = first_lines(src, edits, min_chars, min_edit_chars)
+    firsts, near = first_lines(src, edits, min_edit_chars)
     kept = firsts.join(near, "h", "left_anti")
     kept = written(kept.groupBy("doc").agg(F.collect_set("pos").alias("__keep")), "kept").withColumnRenamed("doc", "__doc")
     cols = [F.col(f"d.`{c}`") for c in docs.columns]
     joined = docs.alias("d").join(kept, F.col(f"d.`{id_col}`").eqNullSafe(F.col("__doc")), "left")
     lines = joined.select(*cols, F.split(F.col(f"d.`{text_col}`"), "\n").alias("__l"), F.coalesce("__keep", F.array().cast("array<int>")).alias("__keep"))
-    short = F.filter(F.transform("__l", lambda x, i: F.when(F.length(trimmed(x)) < min_chars, i)), lambda i: i.isNotNull())
-    lines = lines.select(*[F.col(f"`{c}`") for c in docs.columns], "__l", F.sort_array(F.array_union(short, "__keep")).alias("__at"))
+    blank = F.filter(F.transform("__l", lambda x, i: F.when(trimmed(x) == "", i)), lambda i: i.isNotNull())
+    lines = lines.select(*[F.col(f"`{c}`") for c in docs.columns], "__l", F.sort_array(F.array_union(blank, "__keep")).alias("__at"))
     text = F.when(F.size("__at") == F.size("__l"), F.col(f"`{text_col}`")).otherwise(F.array_join(F.filter(F.transform("__at", lambda i: F.get("__l", i)), lambda x: x.isNotNull()), "\n"))
     out = lines.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.size("__l"), F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.size("__l") - F.size("__at"), F.lit(0)).cast("long").alias("n_lines_removed"))
     return out
