@@ -187,6 +187,26 @@ def test_html(spark):
     assert right / total > 0.97
 
 
+HIDING = {
+    "less-than in a script": "<html><head><title>T</title></head><body><script>for(var i=0;i<n;i++){f(i)}</script>@<script>a<b</script></body></html>",
+    "comment mark in the head's script": "<html><head><script>var s='<!--';</script><title>a <b</title></head><body>@</body></html>",
+    "tags in a script": "<html><body><script>w('<svg><noscript></head>')</script>@<noscript>no</noscript></body></html>",
+    "head without end, body": "<html><head><title>T</title><meta charset=utf-8><link href=/x><body>@</body></html>",
+    "head without end, element": "<html><head><title>T</title><style>p > a {}</style>@</html>",
+    "closed head": "<html><head><meta charset=utf-8><noscript><link></noscript></head>@",
+    "nested": "<html><body><svg><svg></svg><text>hidden</text></svg>@</body></html>",
+    "hidden that crosses": "<html><body><noscript><svg></noscript>@<svg><text>hidden</text></svg></body></html>",
+    **{f"unclosed {t}": f"<html><body><{t} class=x>@</body></html>" for t in ("svg", "math", "button", "select", "iframe", "noscript", "object", "template", "canvas")},
+}
+
+
+@pytest.mark.parametrize("name", sorted(HIDING))
+def test_html_hides_no_more_than_its_elements(name):
+    told = [f"A sentence of the story, number {k}, that goes on for quite a while." for k in range(3)]
+    page = HIDING[name].replace("@", "<article>" + "".join(f"<p>{t}</p>" for t in told) + "</article>")
+    assert html_extraction.main_text(page, html_extraction.train()) == "\n".join(told)
+
+
 def test_url_intervals(spark):
     entries = spark.createDataFrame([("l", "domain", "x.org", "add", "2024-01-10"), ("l", "domain", "x.org", "remove", "2024-02-10")], "list string, kind string, value string, action string, day string").withColumn("day", F.col("day").cast("date"))
     urls = spark.createDataFrame([(u, d) for u in ("http://A.X.org:80/p", "http://x.organ/", None) for d in ("2024-01-09", "2024-01-10", "2024-02-10")], "url string, d string").withColumn("fetched", F.col("d").cast("date"))

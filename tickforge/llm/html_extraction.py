@@ -9,8 +9,10 @@ element given its parent.
 
 The text of blocks whose element is content, in page order: character references decoded, white space turned into one
 space, trimmed, joined by a line feed. Scripts, styles, heads and comments are markup and have no text. Null or empty html
-gives an empty text. Unclosed and stray tags are allowed, a tag cut off by the end of the page is dropped. Pages of any
-length and depth are read whole. Repeated rows are read each for itself. Extra columns are ignored in the result. An empty
+gives an empty text. Unclosed and stray tags are allowed, a tag cut off by the end of the page is dropped. Scripts, styles,
+text areas and titles are raw up to their end tag (without one, up to the page's end, as in HTML). A head ends at its end
+tag or at the first text or element that cannot stand in it; other hidden elements count only if they have an end tag.
+Pages of any length and depth are read whole. Repeated rows are read each for itself. Extra columns are ignored in the result. An empty
 table gives an empty result.
 """
 
@@ -32,7 +34,9 @@ SPACES = re.compile(r"\s+")
 #: Elements by their part in a page.
 ROOTS = frozenset(("html", "body"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style head noscript template title svg math iframe object select textarea button canvas".split())
+HIDDEN = frozenset("script style noscript template title svg math iframe object select textarea button canvas".split())
+RAW = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*>?", re.I) for t in ("script", "style", "textarea", "title")}
+HEAD = frozenset("html head base link meta title script style noscript template".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 TAGS = ["nav", "header", "footer", "aside", "form", "article", "main", "section", "div", "p", "ul", "ol", "li", "table", "td", "h1", "h2", "h3", "blockquote", "pre", "body", "dl", "figure", "fieldset", "dialog", "menu"]
 BAD = ("nav", "menu", "header", "foot", "sidebar", "side", "aside", "banner", "advert", "ad", "ads", "sponsor", "promo", "cookie", "notice", "consent", "popup", "modal", "newsletter", "subscribe", "form", "search", "login", "comment", "comments", "reply", "discussion", "share", "social", "related", "breadcrumb", "widget", "copyright", "legal", "disclaimer", "pagination")
@@ -50,13 +54,43 @@ class Node:
         self.chars = self.links = self.marks = 0
 
 
+def pieces(page: str) -> list[tuple[int, int, re.Match]]:
+    """(start, end, match) of the page's markup in order. A raw element is one piece with all that is in it; so is a hidden
+    one up to the end tag that belongs to it."""
+    out: list[tuple[int, int, re.Match]] = []
+    opened: dict[str, list[int]] = {}
+    at = 0
+    while m := PIECE.search(page, at):
+        at = m.end()
+        tag = (m[2] or "").lower()
+        if tag in HIDDEN and m[4]:
+            if m[1]:
+                if opened.get(tag):
+                    k = opened[tag].pop()
+                    m_start, m_open = out[k][0], out[k][2]
+                    for ks in opened.values():  # what was opened within is within
+                        while ks and ks[-1] > k:
+                            ks.pop()
+                    del out[k:]
+                    out.append((m_start, at, m_open))
+                    continue
+            elif not m[3].rstrip().endswith("/"):
+                if tag in RAW:
+                    stop = RAW[tag].search(page, at)
+                    at = stop.end() if stop else len(page)
+                else:
+                    opened.setdefault(tag, []).append(len(out))
+        out.append((m.start(), at, m))
+    return out
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block elements (parents before children; the first is the page), and blocks of text with their elements."""
     nodes = [Node("html", "", -1)]
     stack: list[tuple[str, int]] = [("html", 0)]
     blocks: list[tuple[int, str]] = []
     held: list[str] = []
-    hidden = ""
+    head = False
 
     def close() -> None:
         text = SPACES.sub(" ", entities.unescape("".join(held))).strip()
@@ -73,26 +107,21 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             nodes[stack[-1][1]].links += len(raw.strip())
 
     at = 0
-    for m in PIECE.finditer(page):
-        if not hidden and m.start() > at:
-            text(page[at : m.start()])
-        at = m.end()
+    for start, after, m in pieces(page):
+        if start > at:
+            head = head and page[at:start].isspace()
+            text(page[at:start])
+        at = after
         if not m[2]:
             continue
         tag, end = m[2].lower(), bool(m[1])
-        if hidden:
-            if end and tag == hidden:
-                hidden = ""
-            continue
         if m[4] == "":
             break
-        if tag in HIDDEN:
-            hidden = "" if end or m[3].rstrip().endswith("/") else tag
-            if hidden in ("script", "style", "textarea", "title"):
-                stop = re.compile(rf"</{hidden}\b", re.I).search(page, at)
-                if stop is None:
-                    at = len(page)
-                    break
+        if tag == "head":
+            head = not end and not m[3].rstrip().endswith("/")
+            continue
+        head = head and (end or tag in HEAD)
+        if head or tag in HIDDEN:
             continue
         if tag in VOID:
             if tag in ("br", "hr", "img"):
@@ -132,7 +161,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         nodes[stack[-1][1]].kids += 1
         stack.append((tag, len(nodes) - 1))
     else:
-        if not hidden and at < len(page):
+        if at < len(page):
             text(page[at:])
     close()
     return nodes, blocks
