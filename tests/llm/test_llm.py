@@ -145,6 +145,15 @@ def test_sql(spark, name):
     assert rows(got) == rows(want)
 
 
+def test_decontamination_cut_at_the_texts_ends(spark):
+    item = [f"w{k}" for k in range(40)]
+    other = [f"o{k}" for k in range(60)]
+    texts = [item[1:] + other, other + item[:-1], item[2:] + other, other + item[:-2], item[1:], item[:-1], item[1:-1], other + item + other, item[30:] + other, other + item[:10], item[:10]]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.start_word, r.similarity) for r in decontamination.leaks(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()}
+    assert got == {0: (0, 35 / 37), 1: (59, 35 / 37), 2: (0, 34 / 38), 3: (58, 34 / 38), 4: (0, 35 / 36), 5: (0, 35 / 36), 6: (0, 34 / 36), 7: (60, 1.0)}
+
+
 def test_odd_rows_and_empty_tables(spark, docs):
     for d, n in ((docs, docs.count()), (docs.limit(0), 0)):
         assert quality_rules.judge(d).count() == n

@@ -1,7 +1,8 @@
 """Benchmark decontamination by SimHash of item-sized windows, in DataFrame functions only.
 
-A benchmark item of L words is compared with windows of L words. Only windows that share a five-word shingle with the item,
-at the same place in both, can reach the similarity asked for, so those are made; their 64-bit SimHash over weighted
+A benchmark item of L words is compared with windows of L words; a window that would begin before the text or end behind it
+is moved into it, and a text of fewer words is one window. Only windows that share a five-word shingle with the item,
+at the same place in both (before it is moved), can reach the similarity asked for, so those are made; their 64-bit SimHash over weighted
 shingles is looked up in a multi-index of the items' fingerprints: radius + 1 blocks, one of which agrees if at most radius
 bits differ. Candidates are verified with the exact weighted Jaccard similarity of shingles (with repetitions), a shingle
 in n items weighing 1000 div n and one in none 1000.
@@ -63,7 +64,7 @@ def leaks(docs: DataFrame, bench: DataFrame, percent: int = 80, radius: int = 20
     for k in used:
         one = split.select("rk", F.size("w").alias("n"), F.posexplode(shingles(F.col("w"), k)).alias("pos", "s"))
         index = small(own.filter(F.col("width") == k).select("ik", "item", "len", "width", "place", "s"))
-        one = one.join(index, "s").withColumn("start", F.col("pos") - F.col("place")).filter("start >= 0 and start + len <= n")
+        one = one.join(index, "s").withColumn("start", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("place"), F.col("n") - F.col("len"))))
         one = one.select("rk", "ik", "len", "width", "start")
         places = one if places is None else places.union(one)
     if places is None:
@@ -73,7 +74,7 @@ def leaks(docs: DataFrame, bench: DataFrame, percent: int = 80, radius: int = 20
     at = small(windows.groupBy("rk").agg(F.collect_list(F.struct("start", "len", "width")).alias("at")))
     texts = written(keyed.join(at, "rk").select("rk", "at", words(F.lower("text")).alias("w")), "hits")
     made = texts.dropDuplicates(["rk"]).select("rk", "w", F.explode("at").alias("x")).select("rk", "x.start", "x.len", "x.width", F.slice("w", F.col("x.start") + 1, F.col("x.len")).alias("w"))
-    made = made.select("rk", "start", "len", "width", F.explode(F.transform(F.sequence(F.lit(1), F.col("len") - F.col("width") + 1), lambda i: F.xxhash64(F.slice("w", i, F.col("width"))))).alias("s"))
+    made = made.select("rk", "start", "len", "width", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - F.col("width") + 1), lambda i: F.xxhash64(F.slice("w", i, F.col("width"))))).alias("s"))
     counted = made.groupBy("rk", "start", "len", "s").agg(F.count("*").alias("c")).join(small(weights), "s", "left").withColumn("weight", F.coalesce("weight", F.lit(1000)).cast("long"))
     counted = written(counted, "windows")
     mine = written(own.groupBy("ik", "item", "len", "s").agg(F.count("*").alias("c")).join(weights, "s"), "shingles")
