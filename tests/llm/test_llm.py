@@ -154,6 +154,14 @@ def test_decontamination_cut_at_the_texts_ends(spark):
     assert got == {0: (0, 35 / 37), 1: (59, 35 / 37), 2: (0, 34 / 38), 3: (58, 34 / 38), 4: (0, 35 / 36), 5: (0, 35 / 36), 6: (0, 34 / 36), 7: (60, 1.0)}
 
 
+def test_decontamination_many_items_of_one_text(spark):
+    text = "one text that very many items of the benchmark have"
+    bench = spark.range(1001).select(F.col("id").alias("item_id"), F.lit(text).alias("text"))
+    docs = spark.createDataFrame([(1, f"before it {text} and behind"), (2, "a text without it, that is all there is to say")], "doc_id long, text string")
+    got = [(r.doc_id, r.item_id, r.start_word, r.similarity) for r in decontamination.leaks(docs, bench).collect()]
+    assert sorted(got) == [(1, k, 2, 1.0) for k in range(1001)]
+
+
 def test_odd_rows_and_empty_tables(spark, docs):
     for d, n in ((docs, docs.count()), (docs.limit(0), 0)):
         assert quality_rules.judge(d).count() == n

@@ -5,7 +5,7 @@ is moved into it, and a text of fewer words is one window. Only windows that sha
 at the same place in both (before it is moved), can reach the similarity asked for, so those are made; their 64-bit SimHash over weighted
 shingles is looked up in a multi-index of the items' fingerprints: radius + 1 blocks, one of which agrees if at most radius
 bits differ. Candidates are verified with the exact weighted Jaccard similarity of shingles (with repetitions), a shingle
-in n items weighing 1000 div n and one in none 1000.
+in n items weighing 1000 div n, but 1 at least, and one in none 1000.
 
 Words are lower-cased. Items of under five words are one shingle of all their words. Null or empty texts and items match
 nothing. Repeated rows are judged each for itself; ids may be null or repeat. Extra columns are ignored. Empty tables give
@@ -56,7 +56,7 @@ def leaks(docs: DataFrame, bench: DataFrame, percent: int = 80, radius: int = 20
         own = part if own is None else own.union(part)
     own = written(own, "items")
     used = [r[0] for r in own.select("width").distinct().collect()]  # five values at most
-    weights = own.select("ik", "s").distinct().groupBy("s").agg(F.expr("1000 div count(*)").alias("weight"))
+    weights = own.select("ik", "s").distinct().groupBy("s").agg(F.expr("greatest(1, 1000 div count(*))").alias("weight"))
     src = text_of(docs, id_col=id_col, text_col=text_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     keyed = src.select(F.xxhash64("id", "text").alias("rk"), "id", "text")
     split = keyed.select("rk", words(F.lower("text")).alias("w"))
