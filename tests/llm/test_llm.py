@@ -231,6 +231,14 @@ def test_url_intervals(spark):
     assert got == {("http://A.X.org:80/p", "2024-01-10")}
 
 
+def test_url_prefixes_of_mixed_case(spark):
+    entries = spark.createDataFrame([("l", "prefix", "X.org/Some/Path", "add", "2024-01-10"), ("l", "prefix", "y.org/Gone", "add", "2024-01-10"), ("l", "prefix", "Y.ORG/Gone", "remove", "2024-01-20"), ("l", "prefix", "Y.ORG/gone", "add", "2024-01-20"), ("l", "domain", "Z.Org", "add", "2024-01-10"), ("l", "prefix", "W.org", "add", "2024-01-10")], "list string, kind string, value string, action string, day string").withColumn("day", F.col("day").cast("date"))
+    urls = ["http://x.org/Some/Path", "http://X.org/Some/Path/More", "http://x.org/some/path", "http://y.org/Gone", "http://y.org/gone", "http://a.z.org/P", "http://w.ORG/Q"]
+    captures = spark.createDataFrame([(u, d) for u in urls for d in ("2024-01-12", "2024-01-22")], "url string, d string").withColumn("fetched", F.col("d").cast("date"))
+    got = {(r.url, r.d[-2:]) for r in url_filters.filter_urls(captures, entries).filter("blocked").collect()}
+    assert got == {(u, d) for u in (urls[0], urls[1], urls[5], urls[6]) for d in ("12", "22")} | {(urls[3], "12"), (urls[4], "22")}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

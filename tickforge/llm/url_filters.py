@@ -5,7 +5,7 @@ added to or removed from the list. Entries of one list and value become validity
 begins; a capture is evaluated against the intervals that hold its fetch date (an as-of join: equal keys, date within).
 Equal captures are evaluated once, so a hot host costs its distinct URLs.
 
-Hosts are lower-cased, without user, port and final dot. Null or unreadable URLs, and captures without a date, match
+Hosts are lower-cased, in entries too, without user, port and final dot; the case of paths counts. Null or unreadable URLs, and captures without a date, match
 nothing and are not blocked. Several entries of a list and value on one date: removal wins. Repeated captures each get
 their row. Extra columns pass, except those named as the results. Empty tables give an empty result, empty lists block
 nothing.
@@ -39,7 +39,9 @@ def keys_of(url: Column) -> Column:
 
 def intervals(entries: DataFrame) -> DataFrame:
     """entries(list, kind, value, action, day) as (list, key, since, until) of the times a value is on a list."""
-    day = entries.groupBy("list", "kind", F.lower("value").alias("value"), "day").agg(F.max(F.when(F.col("action") == "remove", 1).otherwise(0)).alias("gone"))
+    slash = F.locate("/", F.col("value"))
+    value = F.when((F.col("kind") == "prefix") & (slash > 0), F.concat(F.lower(F.substring("value", F.lit(1), slash)), F.substring("value", slash + 1, F.length("value")))).otherwise(F.lower("value"))
+    day = entries.groupBy("list", "kind", value.alias("value"), "day").agg(F.max(F.when(F.col("action") == "remove", 1).otherwise(0)).alias("gone"))
     until = F.lead("day").over(W.partitionBy("list", "kind", "value").orderBy("day"))
     spans = day.filter("list is not null and kind is not null and value is not null and day is not null").withColumn("until", until).filter("gone = 0")
     return spans.select("list", F.concat_ws(" ", "kind", "value").alias("key"), F.col("day").alias("since"), "until")
