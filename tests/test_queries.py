@@ -40,6 +40,18 @@ def test_bucket_keeps_the_last_accepted():
     assert b.accept("t0") and not b.accept("t2")
 
 
+def test_ids_come_again_after_the_window(spark, tmp_path):
+    ids = [*range(10_001), 0, 10_000, 1]  # 0 has left the window, 10,000 has not; 1 left it when 0 came again
+    rows = [(k, u, "a", 5.0) for k, u in enumerate(ids)] + [(20_000 + k, 7, "b", 5.0) for k in range(2)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double").selectExpr("event_id", "timestamp_seconds(1704067200 + event_id) AS ts", "user_id", "event_type", "value", "'' AS props")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    want = [("a", str(u)) for u in [*range(10_001), 0, 1]] + [("b", "7")]
+    got = sorted(registry.flagship(spark, str(tmp_path)).collect(), key=lambda x: x.seq)
+    assert [(x.inst_id, x.trade_id) for x in got] == want and [x.seq for x in got] == list(range(1, len(want) + 1))
+    replayed = sorted(registry.queries()["replay_from_cursor_symbols"](spark, str(tmp_path)).collect(), key=lambda x: x.seq)
+    assert [x.trade_id for x in replayed] == [u for s, u in want if s == "a"][100:]
+
+
 def test_fifo_against_model(spark):
     r = random.Random(4)
     rows = [(i, r.choice(["a", "A", "b"]), str(r.randint(0, 9))) for i in range(400)]

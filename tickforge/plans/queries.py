@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.ticks import is_valid_tick, logs_invalid_line, notional, preview, record_line
 from ..operators import backpressure, dedup, ingest, journal, liveness
 from ..operators.ordered import sequenced
-from ..schemas import ticks_of_events
+from ..schemas import LIMITS, ticks_of_events
 
 T = """t AS (SELECT event_id AS arrival, event_type AS inst_id, epoch_us(ts) // 1000 AS ts, value AS price, 1.0::DOUBLE AS size,
   CASE WHEN user_id % 2 = 0 THEN 'buy' ELSE 'sell' END AS side, user_id::VARCHAR AS trade_id FROM events)"""
@@ -136,7 +136,7 @@ def _replay(spark, d):
 @query("replay_from_cursor_symbols", f"WITH {T}, {FIRST}, s AS (SELECT x.*, row_number() OVER (ORDER BY x.arrival) AS seq FROM (SELECT unnest(x) FROM d) AS x) SELECT seq, inst_id, trade_id FROM s WHERE seq >= 101 AND inst_id IN (SELECT min(inst_id) FROM t)")
 def _cursor(spark, d):
     t = _events(spark, d)
-    rows = sequenced(dedup.first_seen(t), "arrival").filter(F.col("seq") >= 101)
+    rows = sequenced(dedup.windowed(t, LIMITS.dedup_window), "arrival").filter(F.col("seq") >= 101)
     only = t.agg(F.min("inst_id").alias("inst_id"))
     return rows.join(F.broadcast(only), "inst_id", "left_semi").select("seq", "inst_id", "trade_id")  # one row
 
@@ -340,4 +340,4 @@ def _stream(spark, d):
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Valid ticks, deduplicated, sequenced, with their notional."""
     t = _events(spark, d).filter(is_valid_tick())
-    return sequenced(dedup.first_seen(t), "arrival").select("seq", "inst_id", "ts", "price", "size", "side", "trade_id", notional().alias("notional"))
+    return sequenced(dedup.windowed(t, LIMITS.dedup_window), "arrival").select("seq", "inst_id", "ts", "price", "size", "side", "trade_id", notional().alias("notional"))
