@@ -22,10 +22,13 @@ WS = r"[\x20\x09-\x0D]"
 NOT_WS = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 
-#: Phrases of boilerplate lines, lower case.
+#: Phrases of boilerplate lines, lower case, in English, German, French and Spanish.
 BOILERPLATE = (
     "javascript", "cookie policy", "privacy policy", "terms of use", "terms of service", "all rights reserved",
     "lorem ipsum", "click here", "sign up for our newsletter", "enable cookies", "skip to content",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "hier klicken", "newsletter abonnieren", "zum inhalt springen",
+    "tous droits réservés", "politique de confidentialité", "mentions légales", "cliquez ici", "aller au contenu",
+    "todos los derechos reservados", "política de privacidad", "términos de uso", "haga clic aquí", "saltar al contenido",
 )
 
 
