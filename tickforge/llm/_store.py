@@ -1,38 +1,95 @@
-"""Where operators keep what must outlive a lost executor, and small guards for broadcasts."""
+"""Where operators keep what must outlive a lost executor, and small guards for broadcasts and samples."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BROADCAST_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, ``spark.checkpoint.dir``; in a session without one (tests), a folder made once."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tickforge.test.checkpoint.dir", None)
+    """The cluster's shared folder, ``spark.checkpoint.dir``. Only where it is unset and the driver is the one executor
+    (master local, as in tests), a folder made once; on a cluster an unset folder is an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tickforge.local.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tickforge-shared-")
-        spark.conf.set("tickforge.test.checkpoint.dir", found)
+        spark.conf.set("tickforge.local.checkpoint.dir", found)
     return found.rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here and any executor can be lost."""
+    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here and any executor can be lost. The
+    tables are the run's own; what a session has left goes with the folder or by ``clear``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_made: dict[str, list[str]] = {}
+
+
+def mark(spark: SparkSession) -> int:
+    """A place in the list of tables written so far, for ``clear``."""
+    return len(_made.get(spark.sparkContext.applicationId, []))
+
+
+def clear(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the tables written since ``since``, but the last ``keep``: for when results that read them are done with."""
+    made = _made.get(spark.sparkContext.applicationId, [])
+    gone = made[since : len(made) - keep]
+    jvm = spark.sparkContext._jvm
+    for path in gone:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    made[since : len(made) - keep] = []
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """A broadcast hint if ``df`` has at most ``rows`` rows, checked here; else ``df`` as it is, for a shuffled join."""
-    return F.broadcast(df) if len(df.select(F.lit(1)).limit(rows + 1).groupBy().count().filter(F.col("count") <= rows).take(1)) else df
+def parts_for(spark: SparkSession, size: int, each: int = 16 << 20) -> int:
+    """Into how many parts so many bytes are dealt: one for each ``each``, and not fewer than the session's partitions."""
+    return max(shuffle_partitions(spark), -(-size // each))
+
+
+def _bytes(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        inner = kind.elementType
+        flat = not isinstance(inner, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType))
+        return 24 + (F.greatest(F.size(c), F.lit(0)) * 8 if flat else F.aggregate(F.coalesce(c, F.array().cast(kind)), F.lit(0).cast("long"), lambda a, x: a + _bytes(x, inner).cast("long")))
+    if isinstance(kind, T.StructType):
+        return reduce(lambda a, b: a + b, [_bytes(c.getField(f.name), f.dataType) for f in kind.fields], F.lit(16))
+    return F.lit(16)
+
+
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint if ``df``'s rows have at most ``most`` bytes, summed here; else ``df`` as it is, for a shuffled join."""
+    row = reduce(lambda a, b: a + b, [_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields], F.lit(16))
+    return F.broadcast(df) if (df.agg(F.sum(row.cast("long"))).first()[0] or 0) <= most else df
+
+
+def sampled(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """About ``n`` of the distinct 64-bit keys of ``df`` and all their rows, or all of both if there are no more: those of
+    which a hash lies under a threshold taken from a count. Nothing but that count goes to the driver."""
+    h = F.xxhash64(key, F.lit(77))
+    found = df.select(F.approx_count_distinct(h, 0.02)).first()[0]
+    if found <= n:
+        return df
+    return df.filter(h < int(-(2**63) + 2**64 * (n / found)))
 
 
 def text_of(docs: DataFrame, *keep: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
