@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import _words as W
-from ._store import shuffle_partitions, text_of, written
+from ._store import parts_for, text_of, written
 
 U = np.uint64
 RANGE_BITS = 22
@@ -49,6 +49,12 @@ def anchors(w: W.Words, width: int, span: int) -> tuple[np.ndarray, np.ndarray,
     return doc, pos, grams[place], place
 
 
+def _cuts(new: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """Ranges of n things that begin where new is set; none if there is nothing."""
+    at = np.flatnonzero(new).tolist()
+    return list(zip(at, [*at[1:], n], strict=True)) if at else []
+
+
 def _cells(span: int, width: int, bits: int):
     """Sparse counters of a task's anchors: cells by range, and which of them have been met twice."""
 
@@ -61,8 +67,7 @@ def _cells(span: int, width: int, bits: int):
             for row in range(2):
                 cell, n = np.unique(W.mix(v, 61 + row) >> U(64 - bits), return_counts=True)
                 part = (cell >> U(RANGE_BITS)).astype(np.int32)
-                cut = np.flatnonzero(np.diff(part, prepend=-1))
-                for i, j in zip(cut, [*cut[1:], len(part)], strict=True):
+                for i, j in _cuts(np.diff(part, prepend=-1), len(part)):
                     inside = (cell[i:j] & U((1 << RANGE_BITS) - 1)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([pa.array([row], pa.int32()), pa.array([part[i]], pa.int32()), pa.array([inside.tobytes()]), pa.array([np.packbits(n[i:j] > 1).tobytes()])], ["row", "part", "cells", "twice"])
 
@@ -113,8 +118,8 @@ def _spans(ids: np.ndarray, starts: np.ndarray, width: int) -> tuple[list[int],
     b = np.concatenate([a[1:], [len(ids)]]) - 1
     ranges = np.stack([starts[a], starts[b] + width], axis=1).astype(np.int32)
     own = ids[a]
-    cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-    return own[cut].tolist(), [ranges[i:j].tobytes() for i, j in zip(cut, [*cut[1:], len(own)], strict=True)]
+    cut = _cuts(np.concatenate([[True], own[1:] != own[:-1]]), len(own))
+    return [int(own[i]) for i, _ in cut], [ranges[i:j].tobytes() for i, j in cut]
 
 
 def _repeated(v: np.ndarray, wh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,8 +196,7 @@ def _packed(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, parts: int) -
     """Ranges by parts of ids: at most as many rows as parts."""
     part = (ids.view(U) % U(parts)).astype(np.int32)
     order = np.argsort(part, kind="stable")
-    cut = np.flatnonzero(np.diff(part[order], prepend=-1))
-    rows = [order[i:j] for i, j in zip(cut, [*cut[1:], len(order)], strict=True)]
+    rows = [order[i:j] for i, j in _cuts(np.diff(part[order], prepend=-1), len(order))]
     cols = {"ids": ids, "starts": starts.astype(np.int32), "ends": ends.astype(np.int32)}
     return pd.DataFrame({"part": pd.Series([int(part[r[0]]) for r in rows], dtype="int32"), **{c: pd.Series([v[r].tobytes() for r in rows], dtype=object) for c, v in cols.items()}})
 
@@ -227,8 +231,8 @@ def _joined(pdf: pd.DataFrame) -> pd.DataFrame:
     ids, starts, ends = (np.frombuffer(b"".join(pdf[c]), t) for c, t in (("ids", np.int64), ("starts", np.int32), ("ends", np.int32)))
     order = np.argsort(ids, kind="stable")
     ids, both = ids[order], np.stack([starts[order], ends[order]], axis=1)
-    cut = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, np.int64)
-    return pd.DataFrame({"id": pd.Series(ids[cut], dtype="int64"), "spans": pd.Series([both[i:j].tobytes() for i, j in zip(cut, [*cut[1:], len(ids)], strict=True)], dtype=object)})
+    cut = _cuts(np.concatenate([[True], ids[1:] != ids[:-1]]), len(ids)) if len(ids) else []
+    return pd.DataFrame({"id": pd.Series([int(ids[i]) for i, _ in cut], dtype="int64"), "spans": pd.Series([both[i:j].tobytes() for i, j in cut], dtype=object)})
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,34 +250,36 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts, ends = w.starts.tolist(), w.ends.tolist()
             for d in range(j - i):
                 a, b = int(w.first[d]), int(w.first[d + 1])
-                texts.append(b" ".join(raw[starts[k] : ends[k]] for k in (np.flatnonzero(keep[a:b]) + a).tolist()).decode() if not keep[a:b].all() else b" ".join(raw[int(offsets[d]) : int(offsets[d + 1])].split()).decode())
+                texts.append(b" ".join(raw[starts[k] : ends[k]] for k in (np.flatnonzero(keep[a:b]) + a).tolist()) if not keep[a:b].all() else b" ".join(raw[int(offsets[d]) : int(offsets[d + 1])].split()))
                 total.append(b - a), gone.append(b - a - int(keep[a:b].sum()))
-        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(texts, pa.string()), *batch.columns[2:]], ["n_words", "n_removed", "kept_text", *batch.schema.names[2:]])
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(texts, pa.binary()), *batch.columns[2:]], ["n_words", "n_removed", "kept_text", *batch.schema.names[2:]])
 
 
 def remove_repeated_windows(docs: DataFrame, width: int = 35, span: int = 16, max_bits: int = 29, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id_col, n_words, n_removed and kept_text (the words left, joined by one space). The sketch
     has as many bits as suit the input, 2**max_bits a row at most; beyond that it lets more windows pass, none is lost."""
     spark = docs.sparkSession
-    src = text_of(docs, id_col=id_col, text_col=text_col)
-    size = src.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    src = text_of(docs, id_col=id_col, text_col=text_col).select(F.col(f"`{id_col}`").alias("__own"), F.col(f"`{text_col}`").alias("__text"))
+    src = src.withColumn("__id", F.xxhash64("__own", "__text"))
+    size = src.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
     bits = min(max_bits, max(RANGE_BITS, int(size / 60 * 16).bit_length()))
-    buckets = shuffle_partitions(spark)
-    cells = src.select(text_col).mapInArrow(_cells(span, width, bits), "row int, part int, cells binary, twice binary")
+    buckets = parts_for(spark, size)
+    cells = src.select("__text").mapInArrow(_cells(span, width, bits), "row int, part int, cells binary, twice binary")
     merged = cells.groupBy("row", "part").applyInPandas(_merged, "row int, part int, bits binary")
     sketch = [bytearray(1 << bits - 3), bytearray(1 << bits - 3)]
     for r in merged.toLocalIterator():  # at most 2**max_bits bits a row of the sketch
         step = 1 << RANGE_BITS - 3
         sketch[r["row"]][r["part"] * step : (r["part"] + 1) * step] = r["bits"]
     shared = spark.sparkContext.broadcast([bytes(x) for x in sketch])
-    hits = src.select(F.xxhash64(id_col, text_col), text_col).mapInArrow(_windows(span, width, bits, buckets, shared), COVER)
+    hits = src.select("__id", "__text").mapInArrow(_windows(span, width, bits, buckets, shared), COVER)
     hits = hits.withColumn("bucket", F.coalesce("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")))
     both = hits.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_settled(width, buckets), "part int, ids binary, starts binary, ends binary")
     cover = written(both.groupBy("part").applyInPandas(_joined, "id long, spans binary"), "spans")
     shared.unpersist()
-    joined = src.withColumn("__id", F.xxhash64(id_col, text_col)).join(cover.withColumnRenamed("id", "__id"), "__id", "left")
-    out = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType()), src.schema[id_col]])
-    return joined.select(text_col, "spans", id_col).mapInArrow(_kept, out).select(id_col, "n_words", "n_removed", "kept_text")
+    joined = src.join(cover.withColumnRenamed("id", "__id"), "__id", "left")
+    out = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.BinaryType()), src.schema["__own"]])
+    kept = joined.select("__text", "spans", "__own").mapInArrow(_kept, out)
+    return kept.select(F.col("__own").alias(id_col), "n_words", "n_removed", F.col("kept_text").cast("string").alias("kept_text"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
