@@ -1,12 +1,14 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
-Statistics come from the text alone, by vectorised counts over bytes and words. Training takes at most ``sample`` labelled
-documents (chosen by a hash of their id) whose crc32(doc_id as text) mod 4 is not 2. Trees are complete and flattened into
-arrays, so scoring walks all documents down level by level in numpy.
+Statistics come from the text alone, by vectorised counts over bytes and words. Training takes about ``sample`` labelled
+documents whose crc32(doc_id as text) mod 4 is not 2, all if there are no more: those whose id's hash lies under a threshold
+taken from a count, so that nothing else goes to the driver. Trees are complete and flattened into arrays, so scoring walks
+all documents down level by level in numpy.
 
 Null and empty texts get statistics of zero and a score like any other. Whole texts count. Repeated rows are scored each
-for itself; null ids are never held out nor learnt from. Extra columns are ignored. An empty table gives an empty result;
-without labels every score is 0.5.
+for itself; of rows that share an id one is learnt from (the least in statistics), and of several labels of an id the
+greatest counts; labels other than 0 and 1 do not. Null ids are never held out nor learnt from. Extra columns of any name
+are ignored. An empty table gives an empty result; without labels every score is 0.5.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _words as W
-from ._store import text_of, written
+from ._store import sampled, small, text_of, written
 
 SAMPLE = 20_000
 CUT = 0.7
@@ -133,12 +135,14 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = CUT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id_col, held_out, score and predicted."""
-    src = text_of(docs, id_col=id_col, text_col=text_col)
-    kind = src.schema[id_col].dataType.simpleString()
+    src = text_of(docs, id_col=id_col, text_col=text_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    kind = src.schema["id"].dataType.simpleString()
     rows = written(src.mapInArrow(_measured, f"id {kind}, x array<double>"), "statistics")
     held = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(4)) == 2
     marks = labels.select(F.col(f"`{id_col}`").alias("id"), F.col("quality").alias("y")).filter("y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
-    learn = rows.filter(~held).join(marks, "id").orderBy(F.xxhash64("id"), "id", "x").limit(sample).select("x", "y").toPandas()
+    known = sampled(marks.filter(~held), F.col("id"), sample)
+    once = rows.join(small(known), "id").groupBy("id").agg(F.min("x").alias("x"), F.max("y").alias("y"))
+    learn = once.orderBy("id").select("x", "y").toPandas()  # about ``sample`` rows, whatever the input
     forest = fit(np.stack(learn["x"]) if len(learn) else np.zeros((0, len(NAMES))), learn["y"].to_numpy(float))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
