@@ -8,12 +8,13 @@ articles, so that no table is needed: by the likelihood of each
 element given its parent.
 
 The text of blocks whose element is content, in page order: character references decoded, white space turned into one
-space, trimmed, joined by a line feed. Scripts, styles, heads and comments are markup and have no text. Null or empty html
-gives an empty text. Unclosed and stray tags are allowed, a tag cut off by the end of the page is dropped. Scripts, styles,
+space, trimmed, joined by a line feed. Scripts, styles, heads, comments and drawings (svg, canvas) are markup and have no
+text, nor have form controls and what a browser shows only if it can't show something else (noscript, object, iframe).
+Formulas (math) are text of their block. Null or empty html gives an empty text. Unclosed and stray tags are allowed, a tag cut off by the end of the page is dropped. Scripts, styles,
 text areas and titles are raw up to their end tag (without one, up to the page's end, as in HTML). A head ends at its end
 tag or at the first text or element that cannot stand in it; other hidden elements count only if they have an end tag.
-Pages of any length and depth are read whole. Repeated rows are read each for itself. Extra columns are ignored in the result. An empty
-table gives an empty result.
+Pages of any length and depth are read whole, in time that grows with their length. Repeated rows are read each for itself.
+Extra columns of any name pass, but one named text gives way to the result. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,23 +22,27 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<(?=/?[A-Za-z])[^<]*\Z", re.S)
+#: A tag ends at the first > outside a value; quotes open a value behind = only, and one that never closes is no quote.
+PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)(>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 SPACES = re.compile(r"\s+")
 #: Elements by their part in a page.
 ROOTS = frozenset(("html", "body"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template title svg math iframe object select textarea button canvas".split())
+HIDDEN = frozenset("script style noscript template title svg iframe object select textarea button canvas".split())
 RAW = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*>?", re.I) for t in ("script", "style", "textarea", "title")}
 HEAD = frozenset("html head base link meta title script style noscript template".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mspace mpadded semantics".split())
 TAGS = ["nav", "header", "footer", "aside", "form", "article", "main", "section", "div", "p", "ul", "ol", "li", "table", "td", "h1", "h2", "h3", "blockquote", "pre", "body", "dl", "figure", "fieldset", "dialog", "menu"]
 BAD = ("nav", "menu", "header", "foot", "sidebar", "side", "aside", "banner", "advert", "ad", "ads", "sponsor", "promo", "cookie", "notice", "consent", "popup", "modal", "newsletter", "subscribe", "form", "search", "login", "comment", "comments", "reply", "discussion", "share", "social", "related", "breadcrumb", "widget", "copyright", "legal", "disclaimer", "pagination")
 GOOD = ("article", "content", "post", "entry", "main", "story", "body", "text")
@@ -90,8 +95,15 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     stack: list[tuple[str, int]] = [("html", 0)]
     blocks: list[tuple[int, str]] = []
     held: list[str] = []
+    inline: Counter[str] = Counter()  # open inline elements, all on top of the stack
+    blocked: Counter[str] = Counter()  # open block elements
     head = False
 
+    def cut(k: int) -> None:
+        for t, _ in stack[k:]:
+            (inline if t in INLINE else blocked)[t] -= 1
+        del stack[k:]
+
     def close() -> None:
         text = SPACES.sub(" ", entities.unescape("".join(held))).strip()
         held.clear()
@@ -103,7 +115,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
 
     def text(raw: str) -> None:
         held.append(raw)
-        if any(t == "a" for t, _ in stack[-4:]):
+        if inline["a"] > 0:
             nodes[stack[-1][1]].links += len(raw.strip())
 
     at = 0
@@ -130,36 +142,34 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag in INLINE:
             if not end:
                 stack.append((tag, stack[-1][1]))
-            elif any(t == tag for t, _ in stack[-8:]):
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] not in INLINE:
-                        break
-                    if stack[k][0] == tag:
-                        del stack[k]
-                        break
+                inline[tag] += 1
+            elif inline[tag] > 0:
+                k = next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag)
+                del stack[k]
+                inline[tag] -= 1
             continue
         close()
         while stack[-1][0] in INLINE:
-            stack.pop()
+            cut(len(stack) - 1)
         if end:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            if blocked[tag] > 0:
+                cut(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag))
             continue
-        if tag in ("html", "body") and any(t == tag for t, _ in stack):
+        if tag == "html" or tag == "body" and blocked[tag] > 0:
             continue
         if stack[-1][0] == "p":
-            stack.pop()
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in BARRIER or tag not in ENDS:
-                break
-            if stack[k][0] in ENDS[tag]:
-                del stack[k:]
-                break
+            cut(len(stack) - 1)
+        if tag in ENDS and any(blocked[t] > 0 for t in ENDS[tag]):
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k][0] in BARRIER:
+                    break
+                if stack[k][0] in ENDS[tag]:
+                    cut(k)
+                    break
         nodes.append(Node(tag, m[3], stack[-1][1]))
         nodes[stack[-1][1]].kids += 1
         stack.append((tag, len(nodes) - 1))
+        blocked[tag] += 1
     else:
         if at < len(page):
             text(page[at:])
@@ -321,22 +331,21 @@ def main_text(page: str | None, model: tuple[np.ndarray, np.ndarray]) -> str:
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """pages with text in place of html_col. Column text must not be there otherwise."""
+    """pages with text in place of html_col, and of a column named text."""
     model = train()
-    rest = [c for c in pages.columns if c != html_col]
-    kinds = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in rest)
+    rest = [c for c in pages.columns if c not in (html_col, "text")]
+    src = pages.select(F.col(f"`{html_col}`").cast("string").alias("__html"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
+    kinds = T.StructType([*src.schema.fields[1:], T.StructField("__text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([main_text(x.as_py(), model) for x in batch.column(0)], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], texts], [*batch.schema.names[1:], "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], texts], [*batch.schema.names[1:], "__text"])
 
-    return pages.select(html_col, *rest).mapInArrow(run, f"{kinds}, text string" if rest else "text string")
+    return src.mapInArrow(run, kinds).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)], F.col("__text").alias("text"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op9: the main text of every page."""
-    from pyspark.sql import functions as F
-
     out = extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
