@@ -8,8 +8,9 @@ seeded by epoch and id, whose tokens fit. Prefix sums go over 4,096 ranges of th
 order only inside the one range where a leaf's prefix ends.
 
 Null lang or source count as 'unknown'. Null and empty texts have no tokens and are never chosen. Repeated rows count each
-for itself; ties in the order (equal ids) go by tokens. Null ids are allowed. Extra columns pass in ``mix_documents``. An
-empty table gives an empty result. Tokens are words; sums must stay below 2**63 / 10**5.
+for itself; ties in the order (equal ids) go by tokens, then by a hash of the text. Null ids are allowed. Extra columns of
+any name pass in ``mix_documents``. An empty table gives an empty result. Tokens are words; sums must stay below
+2**63 / 10**5. Leaves are few beside rows: the sources of one domain and language meet in one task of the plan.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._store import written
+from ._store import small, written
 from .quality_rules import WS, words
 
 LEVELS = ("domain", "lang", "source")
@@ -69,37 +70,48 @@ def budgets(leaves: DataFrame, total: Column, weights: Mapping[str, Mapping[str,
     return leaves.join(nodes.withColumnRenamed("budget", "alloc"), list(LEVELS))
 
 
-def choose(docs: DataFrame, percent: int = PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED, weights: Mapping[str, Mapping[str, int]] | None = None, tokens: Column | None = None, id_col: str = "doc_id") -> DataFrame:
-    """The rows chosen: id, domain, lang, source, n_tokens and epochs (how many times the row is used). The budget is
-    ``percent`` of all tokens."""
-    w = WEIGHTS if weights is None else weights
-    named = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit("unknown"))
-    n = F.size(words(F.col("text"))).cast("long") if tokens is None else tokens
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), domain_of(named("source")).alias("domain"), named("lang").alias("lang"), named("source").alias("source"), n.alias("n_tokens"))
-    rows = written(rows.filter("n_tokens > 0"), "tokens")
-    leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
-    plan = budgets(leaves, F.expr(f"sum(tokens) * {int(percent)} div 100"), w, max_epochs)
+def dealt(rows: DataFrame, facts: DataFrame, percent: int, max_epochs: int, seed: int, weights: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """rows with epochs above 0. rows: LEVELS, id, n_tokens, tie (a hash that tells rows apart) and any more; facts: the
+    same rows' LEVELS, id and n_tokens alone, kept in a table."""
+    leaves = facts.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
+    plan = budgets(leaves, F.expr(f"sum(tokens) * {int(percent)} div 100"), weights, max_epochs)
     plan = plan.withColumn("whole", F.expr("alloc div tokens")).withColumn("left", F.col("alloc") - F.col("whole") * F.col("tokens"))
     plan = written(plan.select(*LEVELS, "whole", "left"), "plan")
-    dealt = rows.join(plan, list(LEVELS)).withColumn("place", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit("")))))
-    dealt = dealt.withColumn("range", F.substring("place", 1, 3))
-    sums = dealt.groupBy(*LEVELS, "range", "left").agg(F.sum("n_tokens").alias("n"))
-    upto = sums.withColumn("end", F.sum("n").over(W.partitionBy(*LEVELS).orderBy("range")))
-    ranges = upto.select(*LEVELS, "range", (F.col("end") - F.col("n")).alias("begin"), "end")
-    met = dealt.join(ranges, [*LEVELS, "range"])
+    place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    put = lambda d: d.join(small(plan), list(LEVELS)).withColumn("place", place).withColumn("range", F.substring("place", 1, 3))
+    sums = put(facts).groupBy(*LEVELS, "range", "left").agg(F.sum("n_tokens").alias("n"))
+    upto = sums.withColumn("end", F.sum("n").over(W.partitionBy(*LEVELS).orderBy("range")))  # 4,096 rows a leaf at most
+    ranges = written(upto.select(*LEVELS, "range", (F.col("end") - F.col("n")).alias("begin"), "end"), "ranges")
+    met = put(rows).join(small(ranges), [*LEVELS, "range"])
     whole = met.filter("end <= left or begin >= left").withColumn("epochs", F.col("whole") + (F.col("end") <= F.col("left")).cast("long"))
     cut = met.filter("end > left and begin < left")
-    run = F.sum("n_tokens").over(W.partitionBy(*LEVELS, "range").orderBy("place", "id", "n_tokens").rowsBetween(W.unboundedPreceding, 0))
+    run = F.sum("n_tokens").over(W.partitionBy(*LEVELS, "range").orderBy("place", "id", "n_tokens", "tie").rowsBetween(W.unboundedPreceding, 0))
     cut = cut.withColumn("epochs", F.col("whole") + (F.col("begin") + run <= F.col("left")).cast("long"))
-    return whole.unionByName(cut).filter("epochs > 0").select(F.col("id").alias(id_col), *LEVELS, "n_tokens", "epochs")
+    return whole.unionByName(cut).filter("epochs > 0")
+
+
+def _named(tokens: Column | None, id_col: str) -> list[Column]:
+    named = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit("unknown"))
+    n = F.size(words(F.col("text"))).cast("long") if tokens is None else tokens
+    return [F.col(f"`{id_col}`").alias("id"), domain_of(named("source")).alias("domain"), named("lang").alias("lang"), named("source").alias("source"), n.alias("n_tokens"), F.xxhash64("text").alias("tie")]
 
 
-def mix_documents(docs: DataFrame, **how) -> DataFrame:
-    """The chosen documents, all columns, and epochs."""
-    key = docs.withColumn("__key", F.xxhash64("doc_id", "lang", "source", "text"))
-    picked = choose(docs.select(F.xxhash64("doc_id", "lang", "source", "text").alias("key"), "lang", "source", "text"), id_col="key", **how)
-    once = picked.groupBy("key").agg(F.max("epochs").alias("epochs"))
-    return key.join(once, key["__key"] == once["key"]).select(*[F.col(f"`{c}`") for c in docs.columns], "epochs")
+def choose(docs: DataFrame, percent: int = PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED, weights: Mapping[str, Mapping[str, int]] | None = None, tokens: Column | None = None, id_col: str = "doc_id") -> DataFrame:
+    """The rows chosen: id, domain, lang, source, n_tokens and epochs (how many times the row is used). The budget is
+    ``percent`` of all tokens."""
+    rows = written(docs.select(*_named(tokens, id_col)).filter("n_tokens > 0"), "tokens")
+    out = dealt(rows, rows, percent, max_epochs, seed, WEIGHTS if weights is None else weights)
+    return out.select(F.col("id").alias(id_col), *LEVELS, "n_tokens", "epochs")
+
+
+def mix_documents(docs: DataFrame, percent: int = PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED, weights: Mapping[str, Mapping[str, int]] | None = None, tokens: Column | None = None, id_col: str = "doc_id") -> DataFrame:
+    """The chosen documents, all columns, and epochs (in place of a column of that name). Every row is judged as itself: the
+    same rows as in ``choose``, also where rows repeat."""
+    keep = [c for c in docs.columns if c != "epochs"]
+    base = docs.select(*_named(tokens, id_col), F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]).alias("row"))
+    facts = written(base.select("id", *LEVELS, "n_tokens", "tie").filter("n_tokens > 0"), "tokens")
+    out = dealt(base.filter("n_tokens > 0"), facts, percent, max_epochs, seed, WEIGHTS if weights is None else weights)
+    return out.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], "epochs")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
