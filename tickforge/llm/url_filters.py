@@ -5,10 +5,10 @@ added to or removed from the list. Entries of one list and value become validity
 begins; a capture is evaluated against the intervals that hold its fetch date (an as-of join: equal keys, date within).
 Equal captures are evaluated once, so a hot host costs its distinct URLs.
 
-Hosts are lower-cased, in entries too, without user, port and final dot; the case of paths counts. Null or unreadable URLs, and captures without a date, match
-nothing and are not blocked. Several entries of a list and value on one date: removal wins. Repeated captures each get
-their row. Extra columns pass, except those named as the results. Empty tables give an empty result, empty lists block
-nothing.
+Hosts are lower-cased, in entries too, without user, port and final dot; the case of paths counts. Null or unreadable URLs,
+and captures without a date, match nothing and are not blocked. Entries with a null in any column but action count for
+nothing. Several entries of a list and value on one date: removal wins. Repeated captures each get their row. Extra columns
+of any name pass; those named as the results give way to them. Empty tables give an empty result, empty lists block nothing.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ._store import small, written
+
 AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
 
@@ -49,12 +51,17 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", day_col: str = "fetched") -> DataFrame:
     """captures with blocked, n_matches and matches (list and key of each active entry, sorted, joined by commas)."""
-    once = captures.select(F.col(f"`{url_col}`").alias("u"), F.col(f"`{day_col}`").alias("d")).filter("u is not null and d is not null").distinct()
-    asked = once.select("u", "d", F.explode(keys_of(F.col("u"))).alias("key"))
-    active = asked.join(intervals(entries), "key").filter("d >= since and (until is null or d < until)")
-    found = active.groupBy("u", "d").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "list", "key"))), ",").alias("matches"), F.countDistinct("list", "key").alias("n_matches"))
-    out = captures.join(found, (captures[url_col] == found["u"]) & (captures[day_col] == found["d"]), "left")
-    return out.select(*[captures[c] for c in captures.columns], F.col("n_matches").isNotNull().alias("blocked"), F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"), F.coalesce("matches", F.lit("")).alias("matches"))
+    src = captures.alias("c")
+    url, day = F.col(f"c.`{url_col}`"), F.col(f"c.`{day_col}`")
+    spans = written(intervals(entries), "intervals")
+    listed = small(spans.select("key").distinct())  # keys that no list has (a top-level domain) go before the shuffle
+    once = src.select(url.alias("u"), day.alias("d")).filter("u is not null and d is not null").distinct()
+    asked = once.select("u", "d", F.explode(keys_of(F.col("u"))).alias("key")).join(listed, "key", "left_semi")
+    active = asked.join(spans, "key").filter("d >= since and (until is null or d < until)")
+    found = active.groupBy(F.col("u").alias("__u"), F.col("d").alias("__d")).agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "list", "key"))), ",").alias("__matches"), F.countDistinct("list", "key").alias("__n"))
+    out = src.join(found, (url == F.col("__u")) & (day == F.col("__d")), "left")
+    keep = [F.col(f"c.`{c}`") for c in captures.columns if c not in ("blocked", "n_matches", "matches")]
+    return out.select(*keep, F.col("__n").isNotNull().alias("blocked"), F.coalesce("__n", F.lit(0)).cast("long").alias("n_matches"), F.coalesce("__matches", F.lit("")).alias("matches"))
 
 
 def production_entries(pages: DataFrame) -> DataFrame:
@@ -87,7 +94,7 @@ k AS (SELECT page_id, url, fetched, unnest(list_distinct(list_concat(
         list_transform(range(0, len(st) + 1), lambda i: 'prefix ' || host || array_to_string(list_transform(st[1:i], lambda x: '/' || x), ''))))) AS key FROM h),
 v AS (SELECT DISTINCT split_part(key, ' ', 1) AS kind, key, substr(key, 8) AS value FROM k),
 a AS (SELECT kind, value, ('0x' || substr(md5(value), 1, 6))::BIGINT AS a FROM v WHERE length(value) - length(replace(value, '/', '')) <= 1 AND value LIKE '%.%.%'),
-e AS (SELECT CASE WHEN a % 3 = 0 THEN 'spam' ELSE 'adult' END AS list, kind || ' ' || lower(value) AS key, DATE '2024-01-01' + (a % 200)::INTEGER AS since,
+e AS (SELECT CASE WHEN a % 3 = 0 THEN 'spam' ELSE 'adult' END AS list, CASE WHEN kind = 'domain' OR instr(value, '/') = 0 THEN kind || ' ' || lower(value) ELSE kind || ' ' || lower(split_part(value, '/', 1)) || substr(value, instr(value, '/')) END AS key, DATE '2024-01-01' + (a % 200)::INTEGER AS since,
              CASE WHEN a % 8 = 0 THEN DATE '2024-01-01' + (a % 200 + 60)::INTEGER END AS until FROM a WHERE a % 4 = 0),
 f AS (SELECT DISTINCT page_id, url, list, k.key FROM k JOIN e ON k.key = e.key AND fetched >= since AND (until IS NULL OR fetched < until)),
 g AS (SELECT page_id, url, count(*) AS n, string_agg(list || ' ' || key, ',' ORDER BY list || ' ' || key) AS matches FROM f GROUP BY ALL)
