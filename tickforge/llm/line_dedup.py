@@ -10,7 +10,7 @@ diagonals, kept in the bits of one integer. Counts of 24 characters are compared
 
 Null texts stay null, empty ones empty; blank lines stay. Rows that share an id are one document of which each row keeps
 the line numbers kept. Null ids come before all others. Ties: of equal lines the first in order stays. Extra columns of any
-name pass. An empty table gives an empty result.
+name pass; those named as the results give way to them. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from functools import lru_cache, reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._store import small, text_of, where, written
+from ._store import small, text_of, written
 
 TRIM = " \t\r\x0b\x0c"
 
@@ -194,28 +194,40 @@ def first_lines(docs: DataFrame, edits: int, min_edit_chars: int) -> tuple[DataF
     return firsts.select("doc", "pos", "h"), near.union(verified(written(pairs, "pairs"), text, edits, min_edit_chars))
 
 
-def dedup_lines(docs: DataFrame, edits: int = 2, min_edit_chars: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with text_col cleaned, and n_lines and n_lines_removed behind the columns (which must not have those names)."""
+def _deduped(docs: DataFrame, edits: int, min_edit_chars: int, id_col: str, text_col: str) -> DataFrame:
+    """c0, c1, ... (the columns of docs), __text (cleaned), __n (lines) and __gone (lines removed)."""
     src = text_of(docs, id_col=id_col, text_col=text_col).select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
     firsts, near = first_lines(src, edits, min_edit_chars)
     kept = firsts.join(near, "h", "left_anti")
     kept = written(kept.groupBy("doc").agg(F.collect_set("pos").alias("__keep")), "kept").withColumnRenamed("doc", "__doc")
-    cols = [F.col(f"d.`{c}`") for c in docs.columns]
-    joined = docs.alias("d").join(kept, F.col(f"d.`{id_col}`").eqNullSafe(F.col("__doc")), "left")
-    lines = joined.select(*cols, F.split(F.col(f"d.`{text_col}`"), "\n").alias("__l"), F.coalesce("__keep", F.array().cast("array<int>")).alias("__keep"))
+    own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    the_id, the_text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    joined = own.join(kept, the_id.eqNullSafe(F.col("__doc")), "left")
+    lines = joined.select(*own.columns, F.split(the_text, "\n").alias("__l"), F.coalesce("__keep", F.array().cast("array<int>")).alias("__keep"))
     blank = F.filter(F.transform("__l", lambda x, i: F.when(trimmed(x) == "", i)), lambda i: i.isNotNull())
-    lines = lines.select(*[F.col(f"`{c}`") for c in docs.columns], "__l", F.sort_array(F.array_union(blank, "__keep")).alias("__at"))
-    text = F.when(F.size("__at") == F.size("__l"), F.col(f"`{text_col}`")).otherwise(F.array_join(F.filter(F.transform("__at", lambda i: F.get("__l", i)), lambda x: x.isNotNull()), "\n"))
-    out = lines.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.size("__l"), F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.size("__l") - F.size("__at"), F.lit(0)).cast("long").alias("n_lines_removed"))
-    return out
+    lines = lines.select(*own.columns, "__l", F.sort_array(F.array_union(blank, "__keep")).alias("__at"))
+    text = F.when(F.size("__at") == F.size("__l"), the_text).otherwise(F.array_join(F.filter(F.transform("__at", lambda i: F.get("__l", i)), lambda x: x.isNotNull()), "\n"))
+    return lines.select(*own.columns, text.alias("__text"), F.coalesce(F.size("__l"), F.lit(0)).cast("long").alias("__n"), F.greatest(F.size("__l") - F.size("__at"), F.lit(0)).cast("long").alias("__gone"))
 
 
-def filter_documents(docs: DataFrame, chars_col: str = "n_chars") -> DataFrame:
-    """The pipeline's stage: lines go, and documents of which no word is left though there was one."""
-    out = where(dedup_lines(docs), (F.col("n_lines_removed") == 0) | F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")))
-    if chars_col in docs.columns:
-        out = out.withColumn(chars_col, F.length("text").cast(docs.schema[chars_col].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+def dedup_lines(docs: DataFrame, edits: int = 2, min_edit_chars: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with text_col cleaned, and n_lines and n_lines_removed behind the columns (in place of columns of those names)."""
+    out = _deduped(docs, edits, min_edit_chars, id_col, text_col)
+    cols = [(F.col("__text") if c == text_col else F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns) if c not in ("n_lines", "n_lines_removed")]
+    return out.select(*cols, F.col("__n").alias("n_lines"), F.col("__gone").alias("n_lines_removed"))
+
+
+def filter_documents(docs: DataFrame, most_lost: float = 0.5, min_words: int = 10, chars_col: str = "n_chars") -> DataFrame:
+    """The pipeline's stage: repeated lines go. A document that would lose more than ``most_lost`` of its characters, or be
+    left with fewer than ``min_words`` words, stays as it is: it is a copy of others as a whole, which a stage that compares
+    documents can tell only from its whole text, and of which this stage would leave a fragment."""
+    out = _deduped(docs, 2, 40, "doc_id", "text")
+    text = F.col(f"c{docs.columns.index('text')}")
+    n_words = F.size(F.array_remove(F.split("__text", r"[\x20\x09-\x0D]+"), ""))
+    whole = (F.col("__gone") > 0) & ((F.length("__text") < (1 - most_lost) * F.length(text)) | (n_words < min_words))
+    out = out.withColumn("__clean", F.when(whole, text).otherwise(F.col("__text")))
+    kept = [F.length("__clean").cast(docs.schema[c].dataType).alias(c) if c == chars_col else (F.col("__clean") if c == "text" else F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)]
+    return out.select(*kept)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
