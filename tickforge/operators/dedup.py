@@ -31,11 +31,11 @@ class Bucket:
 
 
 def fifo_dedup(ticks: DataFrame, window: int, order: str = "arrival") -> DataFrame:
-    """Accepted ticks, in exact arrival semantics; symbols are told apart in upper case."""
+    """Accepted ticks, in exact arrival semantics; symbols are told apart in upper case. A symbol's ticks are one task's: what
+    is accepted depends on all that was accepted before."""
     keyed = ticks.withColumn("__key", symbol_key(F.col("inst_id")))
-    place = keyed.columns.index("trade_id")
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keyed.schema.fields)
-    return stepwise(keyed, "__key", [order], kinds, lambda: Bucket(window), lambda s, row: row if s.accept(row[place]) else None).drop("__key")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields)
+    return stepwise(keyed, "__key", [order], kinds, lambda: Bucket(window), lambda s, rows: rows[[s.accept(x) for x in rows["trade_id"].tolist()]]).drop("__key")
 
 
 def first_seen(ticks: DataFrame, order: str = "arrival") -> DataFrame:

@@ -1,36 +1,39 @@
-"""Connection and write liveness from event times alone."""
+"""Connection and write liveness from event times alone. Rules that look back or ahead on a key are read by time ranges
+(``ordered.carried``), so that a hot symbol or connection is many tasks'."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ticks import backoff_seconds
 from ..schemas import LIMITS
 from .backpressure import throttled
+from .ordered import carried
 
 
 def silence_gaps(activity: DataFrame, key: str = "inst_id", time: str = "ts", order: str = "arrival", timeout_ms: int = LIMITS.silence_ms) -> DataFrame:
     """Activity that came more than timeout_ms after the one before (the boundary is healthy)."""
-    gap = F.col(time) - F.lag(time).over(W.partitionBy(key).orderBy(order))
-    return activity.withColumn("gap_ms", gap).filter(F.col("gap_ms") > timeout_ms)
+    rows = carried(activity, [key], order, before={"__last": ("last", F.col(time))})
+    return rows.withColumn("gap_ms", F.col(time) - F.col("__last")).drop("__last").filter(F.col("gap_ms") > timeout_ms)
 
 
 def ack_completeness(requests: DataFrame, acks: DataFrame, window_ms: int = LIMITS.ack_window_ms) -> DataFrame:
-    """requests(req, ts, symbols), acks(symbol, ts): confirmed and missing symbols in [ts, ts + window)."""
-    want = requests.select("req", F.col("ts").alias("t0"), F.explode(F.array_distinct("symbols")).alias("symbol"))
-    got = want.join(acks, "symbol", "left").withColumn("ok", F.coalesce((F.col("ts") >= F.col("t0")) & (F.col("ts") < F.col("t0") + window_ms), F.lit(False)))
-    per = got.groupBy("req", "symbol").agg(F.max("ok").alias("ok"))
-    out = per.groupBy("req").agg(F.count(F.lit(1)).alias("expected"), F.count_if("ok").alias("confirmed"), F.array_join(F.sort_array(F.collect_list(F.when(~F.col("ok"), F.col("symbol")))), ",").alias("missing"))
+    """requests(req, ts, symbols), acks(symbol, ts): confirmed and missing symbols in [ts, ts + window). Of each request and
+    symbol the next ack decides."""
+    want = requests.select("req", "ts", F.explode(F.array_distinct("symbols")).alias("symbol")).select("symbol", "ts", F.lit(0).alias("o"), "req")
+    got = acks.select("symbol", "ts", F.lit(1).alias("o"), F.lit(None).cast(requests.schema["req"].dataType).alias("req"))
+    rows = carried(want.union(got), ["symbol"], "ts", after={"ack": ("first", F.when(F.col("o") == 1, F.col("ts")))}, ties=("o",), like=requests.select("ts").union(acks.select("ts"))).filter("o = 0")
+    ok = F.coalesce(F.col("ack") < F.col("ts") + window_ms, F.lit(False))
+    out = rows.groupBy("req").agg(F.count(F.lit(1)).alias("expected"), F.count_if(ok).alias("confirmed"), F.array_join(F.sort_array(F.collect_list(F.when(~ok, F.col("symbol")))), ",").alias("missing"))
     return out.withColumn("complete", F.col("expected") == F.col("confirmed"))
 
 
 def stale_arms(arms: DataFrame, writes: DataFrame, key: str = "inst_id", window_ms: int = LIMITS.write_window_ms) -> DataFrame:
     """arms(key, arrival, ts) without a write(key, ts) in (ts, ts + window]; one sorted pass instead of an interval join."""
     both = arms.select(key, "arrival", "ts", F.lit(1).alias("arm")).union(writes.select(key, F.lit(None).cast("long"), "ts", F.lit(0)))
-    nxt = F.min(F.when(F.col("arm") == 0, F.col("ts"))).over(W.partitionBy(key).orderBy("ts").rangeBetween(1, window_ms))
-    return both.withColumn("w", nxt).filter("arm = 1 and w is null").select(key, "arrival", "ts")
+    rows = carried(both, [key], "ts", after={"w": ("first", F.when(F.col("arm") == 0, F.col("ts")))}, ties=("arm",))
+    return rows.filter((F.col("arm") == 1) & (F.col("w").isNull() | (F.col("w") > F.col("ts") + window_ms))).select(key, "arrival", "ts")
 
 
 def heals(stale: DataFrame, key: str = "inst_id", cooldown_ms: int = LIMITS.heal_cooldown_ms) -> DataFrame:
@@ -40,42 +43,51 @@ def heals(stale: DataFrame, key: str = "inst_id", cooldown_ms: int = LIMITS.heal
 
 def flap_pairs(events: DataFrame, brief_ms: int = LIMITS.brief_flap_ms) -> DataFrame:
     """events(conn, pos, kind, wall_ms, mono_ms): each close_error with the connect next to it on its connection."""
-    line = W.partitionBy("conn").orderBy("pos")
-    only = events.filter(F.col("kind").isin("close_error", "connect"))
-    nxt = only.select("*", F.lead("kind").over(line).alias("k2"), F.lead("mono_ms").over(line).alias("m2"), F.lead("wall_ms").over(line).alias("w2"))
-    out = nxt.filter("kind = 'close_error' and k2 = 'connect'").select("conn", "pos", F.col("wall_ms").alias("closed_ms"), F.col("w2").alias("restored_ms"), (F.col("m2") - F.col("mono_ms")).alias("duration_ms"))
+    only = events.filter(F.col("kind").isin("close_error", "connect")).select("conn", "pos", "kind", "wall_ms", "mono_ms")
+    nxt = carried(only, ["conn"], "pos", after={"n": ("first", F.struct("kind", "wall_ms", "mono_ms"))})
+    out = nxt.filter("kind = 'close_error' and n.kind = 'connect'").select("conn", "pos", F.col("wall_ms").alias("closed_ms"), F.col("n.wall_ms").alias("restored_ms"), (F.col("n.mono_ms") - F.col("mono_ms")).alias("duration_ms"))
     return out.withColumn("brief", (F.col("duration_ms") >= 0) & (F.col("duration_ms") < brief_ms))
 
 
-def tip_at(times: DataFrame, writes: DataFrame, time: str, name: str, key: str = "conn") -> DataFrame:
-    """As-of: times with the largest seq written at or before ``time`` on the key; one sorted pass over both."""
-    cols = times.columns
-    left = times.select(F.col(key).alias("__k"), F.col(time).alias("__t"), F.lit(1).alias("__o"), F.struct(*cols).alias("__x"), F.lit(None).cast("long").alias("__s"))
-    right = writes.select(F.col(key).alias("__k"), F.col("ts").alias("__t"), F.lit(0).alias("__o"), F.lit(None).cast(left.schema["__x"].dataType).alias("__x"), F.col("seq").cast("long").alias("__s"))
-    best = F.max("__s").over(W.partitionBy("__k").orderBy("__t", "__o").rowsBetween(W.unboundedPreceding, 0))
-    return left.union(right).withColumn("__b", best).filter("__o = 1").select("__x.*", F.col("__b").alias(name))
-
-
 def stale_tips(flaps: DataFrame, writes: DataFrame, window_ms: int = LIMITS.tip_window_ms) -> DataFrame:
-    """flaps with baseline (tip at close, else at restore), tip_now (window after restore) and stale."""
-    a = tip_at(tip_at(flaps, writes, "closed_ms", "t1"), writes, "restored_ms", "t2")
-    a = a.withColumn("baseline", F.coalesce("t1", "t2")).drop("t1", "t2").withColumn("due_ms", F.col("restored_ms") + window_ms)
-    b = tip_at(a, writes, "due_ms", "tip_now").drop("due_ms")
-    return b.withColumn("stale", F.coalesce(F.col("tip_now") <= F.col("baseline"), F.lit(False)))
+    """flaps with baseline (tip at close, else at restore), tip_now (window after restore) and stale. A tip at a time is the
+    largest seq written on the connection at or before it; all three are read in one pass over the writes."""
+    times = [F.struct(F.lit(k).alias("k"), t.cast("long").alias("t")) for k, t in enumerate((F.col("closed_ms"), F.col("restored_ms"), F.col("restored_ms") + window_ms))]
+    asked = flaps.select("conn", F.struct(*flaps.columns).alias("flap"), F.inline(F.array(*times)))
+    both = asked.select("conn", "t", F.lit(1).alias("o"), "k", "flap", F.lit(None).cast("long").alias("seq"))
+    none = [F.lit(None).cast(both.schema[c].dataType).alias(c) for c in ("k", "flap")]
+    both = both.union(writes.select("conn", F.col("ts").alias("t"), F.lit(0).alias("o"), *none, F.col("seq").cast("long").alias("seq")))
+    tips = carried(both, ["conn"], "t", upto={"tip": ("max", F.col("seq"))}, ties=("o",), like=writes.select(F.col("ts").alias("t"))).filter("o = 1")
+    at = tips.groupBy("flap").agg(*[F.max(F.when(F.col("k") == k, F.col("tip"))).alias(n) for k, n in enumerate(("t1", "t2", "tip_now"))])
+    out = at.select("flap.*", F.coalesce("t1", "t2").alias("baseline"), "tip_now")
+    return out.withColumn("stale", F.coalesce(F.col("tip_now") <= F.col("baseline"), F.lit(False)))
 
 
 def generations(events: DataFrame) -> DataFrame:
     """Connects of each connection with their generation and whether it is the first."""
-    gen = F.row_number().over(W.partitionBy("conn").orderBy("pos")).cast("long")
-    return events.filter("kind = 'connect'").withColumn("generation", gen).withColumn("first_boot", gen <= 1)
+    rows = carried(events.filter("kind = 'connect'"), ["conn"], "pos", upto={"generation": ("sum", F.lit(1).cast("long"))})
+    return rows.withColumn("first_boot", F.col("generation") <= 1)
 
 
 def attempts(events: DataFrame) -> DataFrame:
     """Failed waits of each connection: attempt counts waits since the last connect, backoff_s is the wait."""
-    line = W.partitionBy("conn").orderBy("pos")
-    islands = events.withColumn("g", F.sum((F.col("kind") == "connect").cast("long")).over(line)).filter("kind = 'close_error'")
-    n = islands.withColumn("attempt", F.row_number().over(W.partitionBy("conn", "g").orderBy("pos")).cast("long") - 1)
-    return n.withColumn("backoff_s", backoff_seconds(F.col("attempt"))).drop("g")
+    rows = carried(events, ["conn"], "pos", upto={"__closed": ("sum", (F.col("kind") == "close_error").cast("long"))})
+    rows = carried(rows, ["conn"], "pos", upto={"__before": ("max", F.when(F.col("kind") == "connect", F.col("__closed")))}).filter("kind = 'close_error'")
+    rows = rows.withColumn("attempt", F.col("__closed") - F.coalesce("__before", F.lit(0)) - 1).drop("__closed", "__before")
+    return rows.withColumn("backoff_s", backoff_seconds(F.col("attempt")))
+
+
+def since_close(events: DataFrame) -> DataFrame:
+    """Connects with the milliseconds since the last close of their connection, null before any."""
+    rows = carried(events, ["conn"], "pos", before={"__close": ("last", F.when(F.col("kind") == "close_error", F.col("mono_ms")))})
+    return rows.filter("kind = 'connect'").withColumn("since_close_ms", F.col("mono_ms") - F.col("__close")).drop("__close")
+
+
+def states(events: DataFrame) -> DataFrame:
+    """Events with log_seq (the place on their connection) and connected (after the event)."""
+    flag = F.when(F.col("kind") == "connect", True).when(F.col("kind") == "close_error", False)
+    rows = carried(events, ["conn"], "pos", upto={"log_seq": ("sum", F.lit(1).cast("long")), "connected": ("last", flag)})
+    return rows.withColumn("connected", F.coalesce("connected", F.lit(False)))
 
 
 def heartbeats(sessions: DataFrame, every_ms: int = LIMITS.heartbeat_ms) -> DataFrame:
