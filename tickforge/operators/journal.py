@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.ticks import in_progress, is_valid_tick, record_line
+from ..functions.ticks import in_progress, is_valid_tick, record_line, stripped
 from ..schemas import LIMITS
-from .ordered import increasing, ranged, sequenced
+from .ingest import behind, decoded, is_object, number, text_at, whole_number
+from .ordered import carried, increasing, sequenced
 
 
 def append(ticks: DataFrame, base: int = 0, order: str = "arrival") -> DataFrame:
@@ -16,31 +16,41 @@ def append(ticks: DataFrame, base: int = 0, order: str = "arrival") -> DataFrame
     return sequenced(ticks, order, base).withColumn("line", record_line(F.col("seq")))
 
 
-def parsed(lines: DataFrame) -> DataFrame:
-    """lines(line_no, line, complete): seq, tick fields, and reason (null for a good record; blank lines are left out)."""
-    from .ingest import is_one_document
-
-    v = F.col("v")
-    get = lambda p, t: F.try_variant_get(v, p, t)
-    text = F.col("line")
-    rows = lines.filter(F.trim(text) != "").withColumn("v", F.when(is_one_document(text), F.try_parse_json(text)))
-    rows = rows.select(
-        "line_no", "line", "complete", "v", get("$.seq", "bigint").alias("seq"), get("$.tick.inst_id", "string").alias("inst_id"), get("$.tick.ts", "bigint").alias("ts"),
-        get("$.tick.price", "double").alias("price"), get("$.tick.size", "double").alias("size"), get("$.tick.side", "string").alias("side"), get("$.tick.trade_id", "string").alias("trade_id"),
-    )
+def parsed(lines: DataFrame, cold: bool = False, wait_ms: int = LIMITS.torn_wait_ms) -> DataFrame:
+    """lines(line_no, line, complete, and quiet_ms: for how long a torn last line has been as it is, null or left out for
+    long enough): seq, tick fields, reason (null for a good record) and waiting (a torn line that may still become a record
+    and is neither good nor bad yet). Blank lines are left out. cold: the reader attaches here, and waits for nothing."""
+    quiet = F.coalesce(F.col("quiet_ms"), F.lit(wait_ms)) if "quiet_ms" in lines.columns else F.lit(wait_ms)
+    rows = lines.select("line_no", "line", "complete", quiet.alias("quiet_ms")).filter(stripped(F.col("line")) != "")
+    rows = behind(rows, text=stripped(F.col("line")))
+    rows, v = decoded(rows, "text"), F.col("v")
+    get = {
+        "seq": whole_number(v, "$.seq"), "inst_id": text_at(v, "$.tick.inst_id"), "ts": whole_number(v, "$.tick.ts"), "price": number(v, "$.tick.price"), "size": number(v, "$.tick.size"),
+        "side": text_at(v, "$.tick.side"), "trade_id": text_at(v, "$.tick.trade_id"),
+    }
+    rows = behind(rows, **get)
     torn = ~F.col("complete")
-    other = F.coalesce(F.try_parse_json(text).isNotNull() & ~F.rlike(text, F.lit(r"^\s*\{")), F.lit(False))
-    reason = F.when(torn & ~in_progress(text), "incomplete_trailing_poison").when(torn, "incomplete_trailing_stale").when(v.isNull() & other, "not_object").when(v.isNull(), "bad_json").when(F.col("seq").isNull() | ~is_valid_tick(), "bad_record")
-    return rows.withColumn("reason", reason).drop("v")
+    reason = (
+        F.when(torn & ~in_progress(F.col("line")), "incomplete_trailing_poison").when(torn & F.lit(cold), "incomplete_trailing_cold_attach").when(torn & (F.col("quiet_ms") >= wait_ms), "incomplete_trailing_stale")
+        .when(~torn & v.isNull(), "bad_json").when(~torn & ~is_object(F.col("text")), "not_object").when(~torn & (F.col("seq").isNull() | ~is_valid_tick()), "bad_record")
+    )
+    rows = behind(rows, reason=reason)
+    return rows.withColumn("waiting", torn & F.col("reason").isNull()).drop("v", "text", "quiet_ms")
 
 
-def replay(lines: DataFrame, start: int = 0) -> DataFrame:
+def replay(lines: DataFrame, start: int = 0, cold: bool = False) -> DataFrame:
     """Good records from start on, strictly increasing in file order."""
-    return increasing(parsed(lines).filter("reason is null").drop("reason"), "line_no", "seq", start)
+    good = parsed(lines, cold).filter("reason is null and not waiting").drop("reason", "waiting")
+    return increasing(good, "line_no", "seq", start, like=lines)
+
 
+def quarantine(lines: DataFrame, cold: bool = False) -> DataFrame:
+    return parsed(lines, cold).filter("reason is not null").select("line_no", "reason", "line")
 
-def quarantine(lines: DataFrame) -> DataFrame:
-    return parsed(lines).filter("reason is not null").select("line_no", "reason", "line")
+
+def dead_letters(lines: DataFrame, ts_ms: Column, cold: bool = False) -> DataFrame:
+    """Quarantine records (ts_ms, reason, line) as they are appended to the dead letters."""
+    return quarantine(lines, cold).select(ts_ms.cast("long").alias("ts_ms"), "reason", "line")
 
 
 def symbols_only(ticks: DataFrame, symbols: list[str]) -> DataFrame:
@@ -50,10 +60,8 @@ def symbols_only(ticks: DataFrame, symbols: list[str]) -> DataFrame:
 
 def byte_offsets(lines: DataFrame, order: str = "line_no") -> DataFrame:
     """lines with byte_offset: where each begins, one byte for each line feed."""
-    r = ranged(lines.withColumn("__len", F.octet_length("line") + 1), order)
-    per = r.groupBy("__range").agg(F.sum("__len").alias("__v")).select("__range", F.sum("__v").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)).alias("__before"))
-    inside = F.sum("__len").over(W.partitionBy("__range").orderBy(order).rowsBetween(W.unboundedPreceding, -1))
-    return r.withColumn("__in", inside).join(F.broadcast(per), "__range").select(*lines.columns, (F.coalesce("__before", F.lit(0)) + F.coalesce("__in", F.lit(0))).cast("long").alias("byte_offset"))
+    rows = carried(lines, [], order, before={"byte_offset": ("sum", (F.octet_length("line") + 1).cast("long"))})
+    return rows.withColumn("byte_offset", F.coalesce("byte_offset", F.lit(0)).cast("long"))
 
 
 def sparse_index(records: DataFrame, interval: int = LIMITS.index_interval, entries: int = LIMITS.index_entries) -> DataFrame:
@@ -61,10 +69,15 @@ def sparse_index(records: DataFrame, interval: int = LIMITS.index_interval, entr
     return records.filter(F.col("seq") % interval == 0).select("seq", "byte_offset").orderBy(F.desc("seq")).limit(entries)
 
 
-def floor_lookup(wanted: DataFrame, index: DataFrame) -> DataFrame:
-    """wanted(start): the greatest indexed seq at or below it and its offset, else 0. The index has 256 rows at most."""
-    hit = wanted.join(F.broadcast(index), F.col("seq") <= F.col("start"), "left")
-    return hit.groupBy("start").agg(F.coalesce(F.max("seq"), F.lit(0)).cast("long").alias("hint_seq"), F.coalesce(F.max_by("byte_offset", "seq"), F.lit(0)).cast("long").alias("hint_offset"))
+def floor_lookup(wanted: DataFrame, index: DataFrame, entries: int = LIMITS.index_entries) -> DataFrame:
+    """wanted(start): the greatest indexed seq at or below it and its offset, else 0. The index, of ``entries`` rows at most,
+    is one sorted array, in which each start is looked up by halving."""
+    one = index.agg(F.array_sort(F.collect_list(F.struct(F.col("seq").cast("long").alias("seq"), F.col("byte_offset").cast("long").alias("byte_offset")))).alias("__i"))
+    steps = [1 << k for k in range(entries.bit_length() - 1, -1, -1)]
+    i = F.col("__i")
+    found = F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), lambda at, d: F.when(F.get(i, at + d - 1)["seq"] <= F.col("start"), at + d).otherwise(at))
+    rows = wanted.select("start").crossJoin(F.broadcast(one)).withColumn("__hit", F.get(i, found - 1))  # one row
+    return rows.select("start", F.coalesce("__hit.seq", F.lit(0)).cast("long").alias("hint_seq"), F.coalesce("__hit.byte_offset", F.lit(0)).cast("long").alias("hint_offset"))
 
 
 def resolve_offset(records: DataFrame, start: int) -> DataFrame:
@@ -76,6 +89,26 @@ def compact(records: DataFrame, min_retain: int) -> DataFrame:
     return records if min_retain <= 1 else records.filter(F.col("seq") >= min_retain)
 
 
+def compact_lines(lines: DataFrame, min_retain: int) -> DataFrame:
+    """lines(line_no, line) with what compaction does with each: keep, remove, skip (no seq to be read; it goes to quarantine)
+    or blank (it goes). Nothing but seq is looked at. min_retain <= 1 keeps all."""
+    rows = behind(lines, __text=stripped(F.col("line")))
+    rows = decoded(rows, "__text", "__v")
+    rows = behind(rows, seq=whole_number(F.col("__v"), "$.seq"))
+    fate = F.when(F.lit(min_retain <= 1), "keep").when(F.col("__text") == "", "blank").when(F.col("seq").isNull(), "skip").when(F.col("seq") < min_retain, "remove").otherwise("keep")
+    return rows.withColumn("fate", fate).drop("__text", "__v")
+
+
+def compaction_report(lines: DataFrame, min_retain: int) -> DataFrame:
+    """One row: kept, removed, skipped, and whether the journal is written anew (something went or could not be read)."""
+    n = [F.count_if(F.col("fate") == f).alias(a) for f, a in (("keep", "kept"), ("remove", "removed"), ("skip", "skipped"))]
+    return compact_lines(lines, min_retain).agg(*n).withColumn("rewritten", (F.col("removed") > 0) | (F.col("skipped") > 0))
+
+
+def compaction_quarantine(lines: DataFrame, min_retain: int) -> DataFrame:
+    return compact_lines(lines, min_retain).filter("fate = 'skip'").select("line_no", F.lit("compact_skip").alias("reason"), "line")
+
+
 def auto_compact(records: DataFrame, last_processed: int, lag: int = LIMITS.compaction_lag) -> DataFrame:
     if lag <= 0:
         raise ValueError("lag must be above 0")
@@ -99,34 +132,14 @@ def durable_tip(records: DataFrame, every: int = LIMITS.tip_every) -> DataFrame:
 
 def idle_flushes(records: DataFrame, idle_ms: int = LIMITS.tip_idle_ms) -> DataFrame:
     """Records after which a writer was quiet longer than idle_ms, so that its tip was published."""
-    nxt = F.lead("ts").over(W.partitionBy("inst_id").orderBy("arrival"))
-    return records.withColumn("quiet_ms", nxt - F.col("ts")).filter(F.col("quiet_ms").isNull() | (F.col("quiet_ms") > idle_ms))
-
-
-def merged_tip(memory: Column, high_water: Column, disk: Column, index: Column) -> dict[str, Column]:
-    """What is persisted and read: negatives and unreadable (null) values count as 0."""
-    clean = lambda c: F.greatest(F.coalesce(c, F.lit(0)), F.lit(0))
-    ours = F.greatest(clean(memory), clean(high_water))
-    ahead = clean(disk) > ours
-    return {"persisted": F.when(ahead, clean(disk)).otherwise(ours), "skipped_write": ahead, "read_back": F.greatest(clean(disk), clean(index), clean(high_water))}
-
-
-def progress(df: DataFrame, overhang: int = LIMITS.overhang) -> DataFrame:
-    """df(read_offset, journal_size, next_seq, disk_tip, stuck) with latest_seq, lag_seq and the classes."""
-    floor = F.greatest(F.lit(0), F.col("next_seq") - 1)
-    ahead = floor - F.col("disk_tip") > overhang
-    latest = F.when(ahead, F.col("disk_tip")).otherwise(F.greatest("disk_tip", floor))
-    out = df.withColumn("cursor_ahead", ahead).withColumn("latest_seq", latest.cast("long"))
-    raw = F.when(F.col("latest_seq") >= F.col("next_seq"), F.col("latest_seq") - F.col("next_seq") + 1).otherwise(0)
-    out = out.withColumn("lag_seq", F.when((raw == 0) & F.col("stuck"), 1).otherwise(raw).cast("long"))
-    caught = (F.col("read_offset") >= F.col("journal_size")) & (F.col("lag_seq") == 0) & ~F.col("stuck")
-    trailing = ~F.col("stuck") & (F.col("read_offset") < F.col("journal_size")) & (F.col("next_seq") > F.col("latest_seq"))
-    out = out.withColumn("eof_caught_up", caught).withColumn("trailing_fp", trailing).withColumn("needs_resync", ~caught & ~trailing)
-    return out.withColumn("log_level", F.when(caught | trailing, "DEBUG").otherwise("WARNING"))
+    rows = carried(records, ["inst_id"], "arrival", after={"__next": ("first", F.col("ts"))})
+    return rows.withColumn("quiet_ms", F.col("__next") - F.col("ts")).drop("__next").filter(F.col("quiet_ms").isNull() | (F.col("quiet_ms") > idle_ms))
 
 
 def skip_episodes(rows: DataFrame, order: str = "line_no") -> DataFrame:
-    """Runs of bad lines between good ones, from the number of good lines before each."""
+    """Runs of bad lines between good ones, from the number of good lines before each: first_line, skipped (bad lines of the
+    run), skipped_total (of all up to its end) and recovered (a good line follows)."""
     good = F.col("reason").isNull()
-    numbered = rows.withColumn("g", F.sum(good.cast("long")).over(W.orderBy(order)))
-    return numbered.filter(~good).groupBy("g").agg(F.min(order).alias("first_line"), F.count(F.lit(1)).alias("skipped")).drop("g")
+    numbered = carried(rows.select(order, "reason"), [], order, before={"g": ("sum", good.cast("long"))}, upto={"t": ("sum", (~good).cast("long"))}, after={"n": ("sum", good.cast("long"))})
+    runs = numbered.filter(~good).groupBy(F.coalesce("g", F.lit(0)).alias("g"))
+    return runs.agg(F.min(order).alias("first_line"), F.count(F.lit(1)).alias("skipped"), F.max("t").alias("skipped_total"), (F.max(F.coalesce("n", F.lit(0))) > 0).alias("recovered")).drop("g")

@@ -41,6 +41,14 @@ class Limits:
     drop_log_ms: int = 10_000
     drops_to_error: int = 1_000
     saturated_to_error_ms: int = 60_000
+    preview_chars: int = 120
+    log_first: int = 3
+    log_at: tuple[int, ...] = (10, 50, 100)
+    log_every: int = 500
+    lag_log_ms: int = 5_000
+    poll_errors: int = 10
+    poll_ms: int = 50
+    poll_backoff_ms: int = 5_000
 
 
 LIMITS = Limits()
