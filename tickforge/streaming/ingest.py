@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.ticks import symbol_key
+from ..operators import journal
 from ..operators.dedup import Bucket
 from ..operators.ordered import sequenced
 from ..schemas import LIMITS, ticks_of_events
+from ..sources.journal import journal_stream
 
 
 def deduplicated(ticks: DataFrame, window: int) -> DataFrame:
-    """ticks (a stream) without duplicates; a micro-batch's rows of a symbol are taken by arrival."""
+    """ticks (a stream) without duplicates; a micro-batch's rows of a symbol are taken by arrival. What a micro-batch holds is
+    bounded by the source (maxFilesPerTrigger, maxBytesPerTrigger), which stands for the queue's capacity."""
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ticks.schema.fields)
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -31,26 +38,78 @@ def deduplicated(ticks: DataFrame, window: int) -> DataFrame:
 
 
 def append_batch(path: str):
-    """A foreachBatch writer: sequence numbers follow the journal's highest; a repeated batch replaces its own folder."""
+    """A foreachBatch writer: sequence numbers follow the tip that the batch before left in its own small table; a repeated
+    batch replaces its own folders."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        base = 0
-        if batch_id:
-            tip = spark.read.parquet(path).filter(F.col("batch") < batch_id).agg(F.max("seq")).first()[0]
-            base = tip or 0
-        sequenced(batch, "arrival", base).withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/part={batch_id}")
+        base = spark.read.parquet(f"{path}-tips/part={batch_id - 1}").first()["seq"] if batch_id else 0
+        rows = sequenced(batch, "arrival", base).withColumn("batch", F.lit(batch_id))
+        rows.write.mode("overwrite").parquet(f"{path}/part={batch_id}")
+        tip = spark.read.schema(rows.schema).parquet(f"{path}/part={batch_id}").agg(F.coalesce(F.max("seq"), F.lit(base)).cast("long").alias("seq"))
+        tip.write.mode("overwrite").parquet(f"{path}-tips/part={batch_id}")
 
     return write
 
 
+def state_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; only where it is unset and the driver is the one executor, a folder of this machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = f"{tempfile.gettempdir()}/tickforge-streams"
+    return found.rstrip("/")
+
+
 def ingest_available(spark: SparkSession, sf_dir: str, window: int = LIMITS.dedup_window) -> DataFrame:
     """All events now there, through the stream into a journal in the shared folder, which is returned."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/tickforge-streams"
-    base = f"{found.rstrip('/')}/{uuid.uuid4().hex}"
+    base = f"{state_dir(spark)}/{uuid.uuid4().hex}"
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     stream = deduplicated(ticks_of_events(events), window)
     q = stream.writeStream.foreachBatch(append_batch(f"{base}/journal")).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(f"{base}/journal")
+
+
+class Follower:
+    """A tail: journal lines of a folder's segments as they come, good records of them in order to a writer, bad lines to the
+    dead letters. The cursor is the highest seq passed on, kept in a small table of each batch, so a restart goes on behind it
+    and a repeated batch gives the same rows."""
+
+    def __init__(self, spark: SparkSession, folder: str, base: str, writer: Callable[[DataFrame, int], None], start_seq: int = 0, files_per_trigger: int = 16):
+        self.spark, self.folder, self.base, self.writer, self.start_seq, self.files = spark, folder, base, writer, start_seq, files_per_trigger
+
+    def cursor_before(self, batch_id: int) -> int:
+        return self.spark.read.parquet(f"{self.base}/cursor/part={batch_id - 1}").first()["last_processed_seq"] if batch_id else self.start_seq - 1
+
+    def _batch(self, batch: DataFrame, batch_id: int) -> None:
+        before = self.cursor_before(batch_id)
+        numbered = batch.select("line", "file", F.monotonically_increasing_id().alias("__id"))
+        order = numbered.select("file").distinct().orderBy("file").limit(self.files + 1).collect()  # segments of one batch
+        place = {r["file"]: k for k, r in enumerate(order)}
+        rank = F.element_at(F.create_map(*[F.lit(x) for kv in place.items() for x in kv]), F.col("file")) if place else F.lit(0)
+        lines = numbered.select("line", (rank.cast("long") * (1 << 56) + F.col("__id")).alias("line_no"), F.lit(True).alias("complete"))
+        journal.dead_letters(lines, F.unix_millis(F.current_timestamp())).write.mode("overwrite").json(f"{self.base}/quarantine/part={batch_id}")
+        good = journal.replay(lines, before + 1)
+        good.write.mode("overwrite").parquet(f"{self.base}/passed/part={batch_id}")
+        passed = self.spark.read.schema(good.schema).parquet(f"{self.base}/passed/part={batch_id}")
+        self.writer(passed, batch_id)
+        passed.agg(F.coalesce(F.max("seq"), F.lit(before)).cast("long").alias("last_processed_seq")).write.mode("overwrite").parquet(f"{self.base}/cursor/part={batch_id}")
+
+    def start(self, **trigger):
+        stream = journal_stream(self.spark, self.folder, self.files)
+        return stream.writeStream.foreachBatch(self._batch).option("checkpointLocation", f"{self.base}/checkpoint").trigger(**(trigger or {"availableNow": True})).start()
+
+    def run(self, most_errors: int = LIMITS.poll_errors, poll_ms: int = LIMITS.poll_ms, backoff_ms: int = LIMITS.poll_backoff_ms, sleep: Callable[[float], None] = time.sleep) -> None:
+        """Read what is there. A failure is tried again after a pause that grows with their number; as many as most_errors in
+        a row end it."""
+        for n in range(1, most_errors + 1):
+            try:
+                self.start().awaitTermination()
+                return
+            except StreamingQueryException as e:
+                if n == most_errors:
+                    raise RuntimeError("tail_follow_exhausted") from e
+                sleep(min(poll_ms * n, backoff_ms) / 1000)
