@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ticks import is_valid_tick, logs_invalid_line, notional, preview, record_line
-from ..operators import backpressure, dedup, ingest, journal, liveness
+from ..operators import backpressure, dedup, ingest, journal, liveness, state
 from ..operators.ordered import sequenced
 from ..schemas import LIMITS, ticks_of_events
 
@@ -49,8 +49,8 @@ def _projection(spark, d):
 
 @query("tick_validate_notional", f"WITH {T} SELECT arrival, inst_id, price * size AS notional FROM t WHERE ts > 0 AND price - 100 > 0")
 def _validate(spark, d):
-    t = _events(spark, d).withColumn("price", F.col("price") - 100)
-    return t.filter(is_valid_tick()).withColumn("price", F.col("price") + 100).join(_events(spark, d).select("arrival", F.col("price").alias("p")), "arrival").withColumn("price", F.col("p")).select("arrival", "inst_id", notional().alias("notional"))
+    shifted = lambda c: F.col("price") - 100 if c == "price" else F.col(c)
+    return _events(spark, d).filter(is_valid_tick(shifted)).select("arrival", "inst_id", notional().alias("notional"))
 
 
 def _raw(spark, d):
@@ -96,7 +96,8 @@ def _registry(spark, d):
 
 @query("dedup_first_seen_seq", f"WITH {T}, {FIRST} SELECT x.arrival AS arrival, x.inst_id AS inst_id, x.trade_id AS trade_id, row_number() OVER (ORDER BY x.arrival) AS seq FROM d")
 def _first(spark, d):
-    return sequenced(dedup.first_seen(_events(spark, d)), "arrival").select("arrival", "inst_id", "trade_id", "seq")
+    t = _events(spark, d)
+    return sequenced(dedup.first_seen(t), "arrival", like=t).select("arrival", "inst_id", "trade_id", "seq")
 
 
 FIFO = f"""WITH RECURSIVE {T}, n AS (SELECT *, row_number() OVER (PARTITION BY inst_id ORDER BY arrival) AS r FROM t),
@@ -136,9 +137,8 @@ def _replay(spark, d):
 @query("replay_from_cursor_symbols", f"WITH {T}, {FIRST}, s AS (SELECT x.*, row_number() OVER (ORDER BY x.arrival) AS seq FROM (SELECT unnest(x) FROM d) AS x) SELECT seq, inst_id, trade_id FROM s WHERE seq >= 101 AND inst_id IN (SELECT min(inst_id) FROM t)")
 def _cursor(spark, d):
     t = _events(spark, d)
-    rows = sequenced(dedup.windowed(t, LIMITS.dedup_window), "arrival").filter(F.col("seq") >= 101)
-    only = t.agg(F.min("inst_id").alias("inst_id"))
-    return rows.join(F.broadcast(only), "inst_id", "left_semi").select("seq", "inst_id", "trade_id")  # one row
+    rows = sequenced(dedup.windowed(t, LIMITS.dedup_window), "arrival", like=t).filter(F.col("seq") >= 101)
+    return journal.symbols_only(rows, [t.agg(F.min("inst_id")).first()[0]]).select("seq", "inst_id", "trade_id")
 
 
 @query("quarantine_report", "SELECT event_id AS line_no, CASE event_id % 20 WHEN 13 THEN 'not_object' WHEN 17 THEN 'bad_record' ELSE 'bad_json' END AS reason FROM events WHERE event_id % 20 IN (3, 7, 13, 17)")
@@ -204,10 +204,12 @@ def _idle(spark, d):
     return journal.idle_flushes(_events(spark, d), 600_000).select("arrival", "inst_id", F.coalesce("quiet_ms", F.lit(-1)).alias("quiet_ms"))
 
 
-@query("tip_merge", "SELECT event_id, CASE WHEN k > g THEN k ELSE g END AS persisted, k > g AS skipped_write, greatest(k, i, h) AS read_back FROM (SELECT event_id, greatest(d, 0) AS k, i, h, greatest(m, h) AS g FROM (SELECT event_id, event_id % 97 AS m, user_id % 89 AS h, event_id * 31 % 120 - 9 AS d, event_id % 61 AS i FROM events))")
+@query("tip_merge", """SELECT event_id, greatest(k, g) AS persisted, k > g AS skipped_write, CASE WHEN d IS NULL THEN g ELSE greatest(k, h) END AS read_back, greatest(k, h) AS reloaded
+  FROM (SELECT *, CASE WHEN d IS NULL THEN 0 ELSE greatest(d, i, 0) END AS k, greatest(m, h) AS g FROM (SELECT event_id, event_id % 97 AS m, user_id % 89 AS h, CASE WHEN event_id % 13 <> 0 THEN event_id * 31 % 120 - 9 END AS d, event_id % 61 AS i FROM events))""")
 def _tips(spark, d):
     e = spark.read.parquet(f"{d}/events.parquet").select("event_id", "user_id")
-    cols = journal.merged_tip(F.col("event_id") % 97, F.col("user_id") % 89, F.col("event_id") * 31 % 120 - 9, F.col("event_id") % 61)
+    disk = F.when(F.col("event_id") % 13 != 0, F.col("event_id") * 31 % 120 - 9)
+    cols = state.merged_tip(F.col("event_id") % 97, F.col("user_id") % 89, disk, F.col("event_id") % 61)
     return e.select("event_id", *[c.alias(n) for n, c in cols.items()])
 
 
@@ -215,11 +217,12 @@ def _tips(spark, d):
 f AS (SELECT *, greatest(0, nx - 1) AS fl FROM p), a AS (SELECT *, fl - tip > 50 AS ahead FROM f), l AS (SELECT *, CASE WHEN ahead THEN tip ELSE greatest(tip, fl) END AS la FROM a),
 g AS (SELECT *, CASE WHEN la >= nx THEN la - nx + 1 WHEN stuck THEN 1 ELSE 0 END AS lag FROM l)
 SELECT event_id, la AS latest_seq, lag::BIGINT AS lag_seq, ahead AS cursor_ahead, ro >= js AND lag = 0 AND NOT stuck AS eof_caught_up, NOT stuck AND ro < js AND nx > la AS trailing_fp,
-CASE WHEN (ro >= js AND lag = 0 AND NOT stuck) OR (NOT stuck AND ro < js AND nx > la) THEN 'DEBUG' ELSE 'WARNING' END AS log_level FROM g""")
+CASE WHEN (ro >= js AND lag = 0 AND NOT stuck) OR (NOT stuck AND ro < js AND nx > la) THEN 'DEBUG' ELSE 'WARNING' END AS log_level,
+NOT (ro >= js AND lag = 0 AND NOT stuck) AND NOT (NOT stuck AND ro < js AND nx > la) AS needs_resync FROM g""")
 def _lag(spark, d):
     e = F.col("event_id")
     rows = spark.read.parquet(f"{d}/events.parquet").select("event_id", (e % 101).alias("read_offset"), (50 + e % 53).alias("journal_size"), (1 + e % 211).alias("next_seq"), (e * 7 % 199).alias("disk_tip"), (e % 10 == 0).alias("stuck"))
-    return journal.progress(rows).select("event_id", "latest_seq", "lag_seq", "cursor_ahead", "eof_caught_up", "trailing_fp", "log_level")
+    return state.checked_progress(rows).select("event_id", "latest_seq", "lag_seq", "cursor_ahead", "eof_caught_up", "trailing_fp", "log_level", "needs_resync")
 
 
 for _name, _f, _order in (("drop_oldest_keep", backpressure.drop_oldest, "DESC"), ("drop_newest_keep", backpressure.drop_newest, "ASC")):
@@ -271,13 +274,13 @@ def _silence(spark, d):
     return liveness.silence_gaps(_events(spark, d)).select("arrival", "inst_id", "gap_ms")
 
 
-@query("ack_completeness", f"""WITH {T}, r AS (SELECT arrival AS req, ts AS t0 FROM t WHERE arrival % 50 = 0), s AS (SELECT DISTINCT inst_id FROM t),
-  k AS (SELECT req, s.inst_id, coalesce(bool_or(t.ts >= t0 AND t.ts < t0 + 3600000), false) AS ok FROM r, s LEFT JOIN t ON t.inst_id = s.inst_id GROUP BY ALL)
+@query("ack_completeness", f"""WITH {T}, r AS (SELECT arrival AS req, ts AS t0 FROM t), s AS (SELECT DISTINCT inst_id FROM t), q AS (SELECT * FROM r, s),
+  k AS (SELECT req, q.inst_id, coalesce(t.ts < t0 + 3600000, false) AS ok FROM q ASOF LEFT JOIN t ON t.inst_id = q.inst_id AND q.t0 <= t.ts)
   SELECT req, count(*) AS expected, count(*) FILTER (ok) AS confirmed, coalesce(string_agg(inst_id, ',' ORDER BY inst_id) FILTER (NOT ok), '') AS missing, bool_and(ok) AS complete FROM k GROUP BY req""")
 def _completeness(spark, d):
     t = _events(spark, d)
     every = t.agg(F.sort_array(F.collect_set("inst_id")).alias("symbols"))
-    requests = t.filter(F.col("arrival") % 50 == 0).select(F.col("arrival").alias("req"), "ts").crossJoin(F.broadcast(every))  # one row
+    requests = t.select(F.col("arrival").alias("req"), "ts").crossJoin(F.broadcast(every))  # one row
     return liveness.ack_completeness(requests, t.select(F.col("inst_id").alias("symbol"), "ts"), 3_600_000)
 
 
@@ -340,4 +343,4 @@ def _stream(spark, d):
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Valid ticks, deduplicated, sequenced, with their notional."""
     t = _events(spark, d).filter(is_valid_tick())
-    return sequenced(dedup.windowed(t, LIMITS.dedup_window), "arrival").select("seq", "inst_id", "ts", "price", "size", "side", "trade_id", notional().alias("notional"))
+    return sequenced(dedup.windowed(t, LIMITS.dedup_window), "arrival", like=t).select("seq", "inst_id", "ts", "price", "size", "side", "trade_id", notional().alias("notional"))

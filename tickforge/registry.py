@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .plans import state_queries  # noqa: F401  its queries join the catalog
 from .plans.queries import CATALOG, flagship
 
 __all__ = ["flagship", "oracle_sql", "queries"]
