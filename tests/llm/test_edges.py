@@ -61,7 +61,7 @@ def test_odd_rows_pass_every_operator(spark, odd):
 
 def test_empty_tables(spark, odd):
     none = odd.limit(0)
-    assert [f(none).count() for f in (quality_rules.filter_documents, line_dedup.filter_documents, line_dedup.dedup_lines, mixing.mix_documents, html_extraction.extract if False else mixing.choose)] == [0] * 5
+    assert [f(none).count() for f in (quality_rules.filter_documents, line_dedup.filter_documents, line_dedup.dedup_lines, mixing.mix_documents, mixing.choose)] == [0] * 5
     assert html_extraction.extract(none.withColumnRenamed("text", "html")).count() == 0
 
 
@@ -202,20 +202,18 @@ def test_decontamination_against_all_windows(spark):
     assert len(want) > 80 and not wrong and len(less) <= 0.03 * len(want), (len(want), wrong, less)
 
 
-def test_fingerprints_within_the_radius_meet_in_a_block(spark):
+@pytest.mark.parametrize("radius", [3, 11, 19])
+def test_fingerprints_within_the_radius_meet(spark, radius):
     r = random.Random(5)
-    one = [r.getrandbits(64) for _ in range(40)]
     rows = []
-    for k, x in enumerate(one):
-        y = x
-        for b in r.sample(range(64), 15):
+    for k in range(40):
+        x = y = r.getrandbits(64)
+        for b in r.sample(range(64), radius + (k % 4 == 3)):
             y ^= 1 << b
-        rows.append((k, x - 2**63, y - 2**63))
+        rows.append((k, x - (x >> 63 << 64), y - (y >> 63 << 64)))
     both = spark.createDataFrame(rows, "k long, x long, y long")
-    cells = decontamination.cells(both.select("k", F.col("x").alias("print")))
-    index = decontamination.multi_index(both.select(F.col("k").alias("j"), F.col("y").alias("print")), 15).withColumnRenamed("print", "other")
-    met = cells.join(index, ["block", "cell"]).filter("k = j").select("k").distinct().count()
-    assert met == len(one)
+    met = decontamination.meetings(both.select("k", F.col("x").alias("print")), both.select("k", F.col("y").alias("other")), ["k"], radius)
+    assert {x.k for x in met.collect()} == {k for k in range(40) if k % 4 < 3}
 
 
 BASE = [re.compile(x) for x in (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")]

@@ -8,12 +8,12 @@ A window can reach the similarity only if its shingles that the item has weigh a
 union weighs no less than the item. So shingles of items are found in the texts, and of each text and item the starts at
 which that holds come from a running sum over the places where a window gains or loses a shingle. This bound loses
 nothing. Windows that hold the same words are one. Their 64-bit SimHash is looked up in a multi-index of the items'
-fingerprints: four blocks of 16 bits, each item under all keys within ``radius`` div 4 bits of a block's, so that every
-fingerprint within ``radius`` bits meets in one block at least. Candidates are verified with the exact similarity.
+fingerprints: four blocks of 16 bits, in one of which fingerprints within ``radius`` bits differ in ``radius`` div 4 at most.
+An item stands under all keys within three bits of its block's, a window asks for all within the bits that are left, so
+every fingerprint within ``radius`` meets. Candidates are verified with the exact similarity.
 
-The radius of 15 bits is what 64 votes need: two windows of similarity 0.8 have a cosine of about 0.89 and so differ in 9.7
-bits on average with a deviation of 2.9; about 2 of 100 such lie beyond 15, at 0.85 fewer than 1 of 200. README has the
-measured share.
+The radius of 19 bits is what 64 votes need: two windows of similarity 0.8 have a cosine of about 0.89 and so differ in 9.7
+bits on average with a deviation of 2.9; about 3 of 10,000 such lie beyond 19. README has the measured share.
 
 Words are lower-cased. Items of under five words are one shingle of all their words. Null or empty texts and items match
 nothing. Items of one text are compared once and all found. Repeated rows are judged each for itself; ids may be null or
@@ -31,7 +31,7 @@ from ._store import small, text_of, written
 from .quality_rules import WS, words
 
 WIDTH = 5
-BLOCKS, BLOCK_BITS = 4, 16
+BLOCKS, BLOCK_BITS, ITEM_BITS = 4, 16, 3
 
 
 def shingles(w: Column, width: int) -> Column:
@@ -56,12 +56,21 @@ def cells(prints: DataFrame) -> DataFrame:
     return prints.select("*", F.posexplode(F.array(*cut)).alias("block", "cell"))
 
 
-def multi_index(prints: DataFrame, radius: int) -> DataFrame:
-    """prints under every key that a fingerprint within ``radius`` bits can have in the block where it is nearest."""
-    near = [m for m in range(1 << BLOCK_BITS) if m.bit_count() <= radius // BLOCKS]
+def flipped(prints: DataFrame, bits: int) -> DataFrame:
+    """prints under every key within so many bits of their blocks'."""
+    near = [m for m in range(1 << BLOCK_BITS) if m.bit_count() <= bits]
     return cells(prints).select("*", F.explode(F.array(*[F.lit(m) for m in near])).alias("flip")).withColumn("cell", F.col("cell").bitwiseXOR(F.col("flip"))).drop("flip")
 
 
+def meetings(prints: DataFrame, others: DataFrame, on: list[str], radius: int) -> DataFrame:
+    """Rows of prints and others (the fingerprint there is named other) that agree in ``on`` and differ in ``radius`` bits at
+    most; pairs that meet in several blocks come several times."""
+    reach = radius // BLOCKS
+    index = flipped(others.withColumnRenamed("other", "print"), min(reach, ITEM_BITS)).withColumnRenamed("print", "other")
+    asked = flipped(prints, reach - min(reach, ITEM_BITS))
+    return asked.join(small(index), [*on, "block", "cell"]).filter(F.bit_count(F.col("print").bitwiseXOR(F.col("other"))) <= radius)
+
+
 def starts(seeds: DataFrame, sums: DataFrame, percent: int) -> DataFrame:
     """seeds: rk, n (words of the text), pos, ik, len, width, weight of each shingle of an item found in a text. (rk, ik, len,
     width, start) of the windows whose found shingles weigh at least percent of the item's sum."""
@@ -76,7 +85,7 @@ def starts(seeds: DataFrame, sums: DataFrame, percent: int) -> DataFrame:
     return runs.filter(bound("held") & F.col("next").isNotNull()).select("rk", "ik", "len", "width", F.explode(F.sequence("at", F.col("next") - 1)).alias("start"))
 
 
-def leaks(docs: DataFrame, bench: DataFrame, percent: int = 80, radius: int = 15, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+def leaks(docs: DataFrame, bench: DataFrame, percent: int = 80, radius: int = 19, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """Per document row and item that is found in it: row_key (a hash of id and text), id_col, item_col, start_word (of the
     most similar window, the first of equals, from 0) and similarity."""
     items = bench.select(F.col(f"`{item_col}`").alias("item"), words(F.lower(F.col("text"))).alias("w")).filter("size(w) > 0")
@@ -117,8 +126,7 @@ def leaks(docs: DataFrame, bench: DataFrame, percent: int = 80, radius: int = 15
     heavy = lambda d: d.withColumn("weight", F.col("weight") * F.col("c"))
     prints = fingerprints(heavy(counted), "wk").join(counted.select("wk", "len").distinct(), "wk")
     item_prints = fingerprints(heavy(mine), "ik").join(mine.select("ik", "len").distinct(), "ik")
-    index = multi_index(item_prints, radius).withColumnRenamed("print", "other")
-    near = cells(prints).join(small(index), ["len", "block", "cell"]).filter(F.bit_count(F.col("print").bitwiseXOR(F.col("other"))) <= radius)
+    near = meetings(prints, item_prints.withColumnRenamed("print", "other"), ["len"], radius)
     pairs = written(near.select("wk", "ik").distinct(), "candidates")
 
     shared = pairs.join(counted.select("wk", "s", "weight", F.col("c").alias("c1")), "wk").join(small(mine.select("ik", "s", F.col("c").alias("c2"))), ["ik", "s"])
