@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,32 +30,33 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here and any executor can be lost. The
-    tables are the run's own; what a session has left goes with the folder or by ``clear``."""
+    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here and any executor can be lost. Who is
+    done with such tables deletes them (``noted``); else they go with the folder."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if (made := _made.get()) is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_made: dict[str, list[str]] = {}
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
-def mark(spark: SparkSession) -> int:
-    """A place in the list of tables written so far, for ``clear``."""
-    return len(_made.get(spark.sparkContext.applicationId, []))
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths of the tables that are written meanwhile, in order."""
+    token = _made.set([])
+    try:
+        yield _made.get()
+    finally:
+        _made.reset(token)
 
 
-def clear(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
-    """Delete the tables written since ``since``, but the last ``keep``: for when results that read them are done with."""
-    made = _made.get(spark.sparkContext.applicationId, [])
-    gone = made[since : len(made) - keep]
-    jvm = spark.sparkContext._jvm
-    for path in gone:
-        at = jvm.org.apache.hadoop.fs.Path(path)
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    made[since : len(made) - keep] = []
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
