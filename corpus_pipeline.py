@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.llm import decontamination, line_dedup, mixing, ngram_jaccard, quality_rules
-from tickforge.llm._store import written
+from tickforge.llm._store import delete, noted, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,15 +50,18 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("n-gram jaccard", near_copies), ("decontamination", benchmark), ("mixing", mixture)]
 
-#: The edit join and the components have no SQL form. tests/llm compares the stages' operators with brute force, and checks
-#: of run() only what must hold of its rows; a brute-force version of the whole is still to be written.
+#: The edit join and the components have no SQL form; tests/llm/test_brute.py holds run() against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows after all stages. What a stage has written goes as soon as the next one's table is whole."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = written(docs, "stage")
+    with noted() as made:
+        for k, (_, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if k + 1 < len(STAGES):
+                docs = written(docs, "stage")
+                delete(spark, made[:-1])
+                del made[:-1]
     return docs
