@@ -18,21 +18,21 @@ def _ranked(ticks: DataFrame, capacity: int, order: str, last: bool) -> DataFram
     return carried(ticks, ["inst_id"], order, **side).filter(F.coalesce("__n", F.lit(0)) < capacity).drop("__n")
 
 
-def drop_oldest(ticks: DataFrame, capacity: int, order: str = "arrival") -> DataFrame:
+def drop_oldest(ticks: DataFrame, capacity: int = LIMITS.queue_capacity, order: str = "arrival") -> DataFrame:
     """What an undrained queue of each symbol holds when the oldest make room: the last by arrival."""
     return _ranked(ticks, capacity, order, True)
 
 
-def drop_newest(ticks: DataFrame, capacity: int, order: str = "arrival") -> DataFrame:
+def drop_newest(ticks: DataFrame, capacity: int = LIMITS.queue_capacity, order: str = "arrival") -> DataFrame:
     return _ranked(ticks, capacity, order, False)
 
 
-def drop_counts(ticks: DataFrame, capacity: int) -> DataFrame:
+def drop_counts(ticks: DataFrame, capacity: int = LIMITS.queue_capacity) -> DataFrame:
     n = ticks.groupBy("inst_id").agg(F.count(F.lit(1)).alias("n"))
     return n.select("inst_id", "n", F.greatest(F.col("n") - capacity, F.lit(0)).cast("long").alias("dropped"))
 
 
-def throttled(events: DataFrame, key: str, time: str, order: list[str], every: int) -> DataFrame:
+def throttled(events: DataFrame, key: str, time: str, order: list[str], every: int = LIMITS.drop_log_ms) -> DataFrame:
     """Greedy: an event is logged if none was, or the last logged is at least ``every`` back. events' key, time and
     order columns (time first), and n: how many events the log line stands for (those since the last, itself included).
     Each step goes from one logged event to the next. A key's events are one task's: the next depends on the last."""

@@ -1,4 +1,4 @@
-"""Schemas of ticks, journal records, journal state and connection events, and the canonical tick view over a table."""
+"""The default limits of all rules, and the canonical tick view over a table: arrival, inst_id, ts (ms), price, size, side, trade_id."""
 
 from __future__ import annotations
 
@@ -6,15 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-TICK = T.StructType([T.StructField("inst_id", T.StringType()), T.StructField("ts", T.LongType()), T.StructField("price", T.DoubleType()), T.StructField("size", T.DoubleType()), T.StructField("side", T.StringType()), T.StructField("trade_id", T.StringType())])
-RECORD = T.StructType([T.StructField("seq", T.LongType()), T.StructField("tick", TICK)])
-META = T.StructType([T.StructField("latest_seq", T.LongType()), T.StructField("seen_trade_ids", T.MapType(T.StringType(), T.ArrayType(T.StringType()))), T.StructField("seq_index", T.ArrayType(T.ArrayType(T.LongType())))])
-CURSOR = T.StructType([T.StructField("last_processed_seq", T.LongType())])
-QUARANTINE = T.StructType([T.StructField("ts_ms", T.LongType()), T.StructField("reason", T.StringType()), T.StructField("line", T.StringType())])
-CONNECTION = T.StructType([T.StructField("conn", T.StringType()), T.StructField("kind", T.StringType()), T.StructField("wall_ms", T.LongType()), T.StructField("mono_ms", T.LongType()), T.StructField("symbol", T.StringType()), T.StructField("seq", T.LongType())])
-TICK_FIELDS = tuple(f.name for f in TICK.fields)
+
 
 
 @dataclass(frozen=True)
