@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-
 @dataclass(frozen=True)
 class Limits:
     """Default limits of journal, queue and liveness rules."""
