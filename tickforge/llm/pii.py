@@ -19,10 +19,11 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._store import sampled, text_of
@@ -38,11 +39,22 @@ SEED = re.compile(r"(?i:password|passwd|token|secret|api_?key)\s*[=:]\s*\"?([A-Z
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 TELLING = re.compile(r"[0-9@]")
 LABEL = re.compile(r"(?i)(?:password|passwd|token|secret|api_?key)[\"']?\s*[=:]")
-#: Whether a text can have spans at all; the same for Java.
-ANY = r"[0-9@]|(?i:password|passwd|token|secret|api_?key)"
+#: Without one of these, in lower case, a text has no telling word.
+STEMS = ("passw", "token", "secret", "api")
 SAMPLE, SURE, ROUNDS = 2000, 0.95, 12
 
 
+def has_stem(text: str) -> bool:
+    low = text.lower()
+    return any(x in low for x in STEMS)
+
+
+def can_have_spans(text: Column) -> Column:
+    """What TELLING and has_stem tell, for a column."""
+    low = F.lower(text)
+    return F.rlike(text, F.lit(TELLING.pattern)) | reduce(lambda a, b: a | b, [F.contains(low, F.lit(x)) for x in STEMS])
+
+
 def luhn(digits: str) -> bool:
     double = [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]
     return sum(double[int(c)] if i % 2 else int(c) for i, c in enumerate(reversed(digits))) % 10 == 0
@@ -133,7 +145,8 @@ def core_of(token: str) -> str:
 def graph(text: str) -> tuple[list[tuple[int, int]], np.ndarray, list[tuple[int, int]], list[tuple[int, int]], np.ndarray] | None:
     """Telling tokens and their neighbours, their features, chain edges, skip edges (from each token to the one before that
     is equal or similar, so that edges grow with tokens and not with their pairs), and which tokens are telling."""
-    if not TELLING.search(text) and not LABEL.search(text):
+    labelled = has_stem(text)
+    if not TELLING.search(text) and not (labelled and LABEL.search(text)):
         return None
     every = [m.span() for m in TOKEN.finditer(text)]
     word = lambda j: text[slice(*every[j])] if 0 <= j < len(every) else ""
@@ -141,7 +154,7 @@ def graph(text: str) -> tuple[list[tuple[int, int]], np.ndarray, list[tuple[int,
     begins = [a for a, _ in every]
     shared: set[str] = set()
     behind: set[int] = set()
-    for m in LABEL.finditer(text):  # the token that holds what stands behind the sign
+    for m in LABEL.finditer(text) if labelled else ():  # the token that holds what stands behind the sign
         i = bisect_left(begins, m.end() + 1) - 1
         if i >= 0 and every[i][1] <= m.end():
             i += 1
@@ -253,7 +266,7 @@ def find_pii(docs: DataFrame, sample: int = SAMPLE, sure: float = SURE, id_col:
     """One row per row of docs: id_col, base and spans (both arrays of kind, start, end), masked (the text with spans
     replaced by their kind in brackets)."""
     src = text_of(docs, id_col=id_col, text_col=text_col).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text"))
-    some = src.select("__text").filter(F.rlike("__text", F.lit(ANY)))
+    some = src.select("__text").filter(can_have_spans(F.col("__text")))
     some = sampled(some, F.col("__text"), sample).groupBy(F.xxhash64("__text").alias("h")).agg(F.min("__text").alias("t"))
     model = train([r[0] for r in some.orderBy("h").select("t").collect()])  # about ``sample`` texts, whatever the input
     span = "array<struct<kind:string,start:int,end:int>>"
@@ -265,7 +278,7 @@ def find_pii(docs: DataFrame, sample: int = SAMPLE, sure: float = SURE, id_col:
             base, spans, masked = [], [], []
             for t in batch.column(1):
                 text = t.as_py()
-                b, s = all_spans(text, model, sure) if text else ([], [])
+                b, s = all_spans(text, model, sure) if text and (TELLING.search(text) or has_stem(text)) else ([], [])
                 base.append(named(b)), spans.append(named(s))
                 if s:
                     parts, at = [], 0
