@@ -78,14 +78,16 @@ def dealt(rows: DataFrame, facts: DataFrame, percent: int, max_epochs: int, seed
     plan = plan.withColumn("whole", F.expr("alloc div tokens")).withColumn("left", F.col("alloc") - F.col("whole") * F.col("tokens"))
     plan = written(plan.select(*LEVELS, "whole", "left"), "plan")
     place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
-    put = lambda d: d.join(small(plan), list(LEVELS)).withColumn("place", place).withColumn("range", F.substring("place", 1, 3))
-    sums = put(facts).groupBy(*LEVELS, "range", "left").agg(F.sum("n_tokens").alias("n"))
-    upto = sums.withColumn("end", F.sum("n").over(W.partitionBy(*LEVELS).orderBy("range")))  # 4,096 rows a leaf at most
-    ranges = written(upto.select(*LEVELS, "range", (F.col("end") - F.col("n")).alias("begin"), "end"), "ranges")
-    met = put(rows).join(small(ranges), [*LEVELS, "range"])
-    whole = met.filter("end <= left or begin >= left").withColumn("epochs", F.col("whole") + (F.col("end") <= F.col("left")).cast("long"))
-    cut = met.filter("end > left and begin < left")
+    put = lambda d, p: d.join(small(p), list(LEVELS)).withColumn("place", place).withColumn("range", F.substring("place", 1, 3))
+    sums = put(facts, plan).groupBy(*LEVELS, "range", "left").agg(F.sum("n_tokens").alias("n"))
+    upto = sums.withColumn("end", F.sum("n").over(W.partitionBy(*LEVELS).orderBy("range"))).withColumn("begin", F.col("end") - F.col("n"))  # 4,096 rows a leaf at most
+    inside = (F.col("end") > F.col("left")) & (F.col("begin") < F.col("left"))
+    ends = upto.groupBy(*LEVELS).agg(F.max(F.when(F.col("end") <= F.col("left"), F.col("range"))).alias("full"), F.min(F.when(inside, F.col("range"))).alias("cut"), F.min(F.when(inside, F.col("begin"))).alias("begin"))
+    plan = written(plan.join(ends, list(LEVELS)), "ends")  # a row a leaf: the last range that is whole, and the one that is not
+    met = put(rows, plan)
+    whole = met.filter("cut is null or range <> cut").withColumn("epochs", F.col("whole") + (F.col("range") <= F.coalesce("full", F.lit(""))).cast("long"))
     run = F.sum("n_tokens").over(W.partitionBy(*LEVELS, "range").orderBy("place", "id", "n_tokens", "tie").rowsBetween(W.unboundedPreceding, 0))
+    cut = met.filter("range = cut")
     cut = cut.withColumn("epochs", F.col("whole") + (F.col("begin") + run <= F.col("left")).cast("long"))
     return whole.unionByName(cut).filter("epochs > 0")
 
