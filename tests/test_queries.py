@@ -30,6 +30,32 @@ def test_query(spark, duck, name):
     assert rows(got) == rows(want)
 
 
+def same_as_sql(spark, name, folder):
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
+    want = c.execute(registry.oracle_sql()[name]).df()
+    got = registry.queries()[name](spark, str(folder)).toPandas()
+    cols = sorted(want.columns)
+    rows = lambda f: sorted(map(tuple, f[cols].astype(str).to_numpy().tolist()))
+    assert sorted(got.columns) == cols and rows(got) == rows(want)
+
+
+def made_events(spark, folder, n, user, value):
+    spark.range(n).selectExpr("id AS event_id", "timestamp_seconds(1704067200 + id) AS ts", f"{user} AS user_id", "'a' AS event_type", f"cast({value} AS double) AS value", "'' AS props").write.parquet(f"{folder}/events.parquet")
+
+
+@pytest.fixture(scope="module")
+def unpriced(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("unpriced")
+    made_events(spark, folder, 480, "id % 9", "CASE WHEN id % 7 = 0 THEN 0 WHEN id % 7 = 3 THEN -1 ELSE 2.25 END")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["explode_trades"])
+def test_events_whose_price_no_tick_can_have(spark, unpriced, name):
+    same_as_sql(spark, name, unpriced)
+
+
 def test_flagship(spark):
     assert registry.flagship(spark, DIR).count() > 0
 
