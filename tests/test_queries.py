@@ -56,6 +56,11 @@ def test_events_whose_price_no_tick_can_have(spark, unpriced, name):
     same_as_sql(spark, name, unpriced)
 
 
+def test_floor_lookup_below_the_newest_256_entries(spark, tmp_path):
+    made_events(spark, tmp_path, 130_500, "id % 1500", "1")
+    same_as_sql(spark, "seq_floor_lookup", tmp_path)
+
+
 def test_flagship(spark):
     assert registry.flagship(spark, DIR).count() > 0
 

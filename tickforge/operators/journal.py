@@ -64,14 +64,22 @@ def byte_offsets(lines: DataFrame, order: str = "line_no") -> DataFrame:
     return rows.withColumn("byte_offset", F.coalesce("byte_offset", F.lit(0)).cast("long"))
 
 
-def sparse_index(records: DataFrame, interval: int = LIMITS.index_interval, entries: int = LIMITS.index_entries) -> DataFrame:
-    """The newest entries (seq, byte_offset) of seq 0 and each interval-th; a top-k."""
-    return records.filter(F.col("seq") % interval == 0).select("seq", "byte_offset").orderBy(F.desc("seq")).limit(entries)
+def sparse_index(records: DataFrame, interval: int = LIMITS.index_interval, entries: int | None = LIMITS.index_entries) -> DataFrame:
+    """The newest entries (seq, byte_offset) of seq 0 and each interval-th; a top-k. entries None: all of them."""
+    rows = records.filter(F.col("seq") % interval == 0).select("seq", "byte_offset")
+    return rows if entries is None else rows.orderBy(F.desc("seq")).limit(entries)
 
 
-def floor_lookup(wanted: DataFrame, index: DataFrame, entries: int = LIMITS.index_entries) -> DataFrame:
+def floor_lookup(wanted: DataFrame, index: DataFrame, entries: int | None = LIMITS.index_entries) -> DataFrame:
     """wanted(start): the greatest indexed seq at or below it and its offset, else 0. The index, of ``entries`` rows at most,
-    is one sorted array, in which each start is looked up by halving."""
+    is one sorted array, in which each start is looked up by halving. entries None, an index of any size: one sorted pass
+    over both sides."""
+    if entries is None:
+        marks = index.select(F.col("seq").cast("long").alias("start"), F.lit(0).alias("__asks"), F.col("byte_offset").cast("long").alias("__offset"))
+        asked = wanted.select(F.col("start").cast("long").alias("start"), F.lit(1).alias("__asks"), F.lit(None).cast("long").alias("__offset"))
+        hint = F.when(F.col("__asks") == 0, F.struct(F.col("start").alias("seq"), F.col("__offset").alias("byte_offset")))
+        rows = carried(marks.union(asked), [], "start", upto={"__hit": ("last", hint)}, ties=("__asks",)).filter("__asks = 1")
+        return rows.select("start", F.coalesce("__hit.seq", F.lit(0)).cast("long").alias("hint_seq"), F.coalesce("__hit.byte_offset", F.lit(0)).cast("long").alias("hint_offset"))
     one = index.agg(F.array_sort(F.collect_list(F.struct(F.col("seq").cast("long").alias("seq"), F.col("byte_offset").cast("long").alias("byte_offset")))).alias("__i"))
     steps = [1 << k for k in range(entries.bit_length() - 1, -1, -1)]
     i = F.col("__i")
