@@ -28,7 +28,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_jaccard.jaccard_components(docs.select("doc_id", "text"))
+    found = ngram_jaccard.jaccard_components(docs.select("doc_id", "text"), count_links=False)
     gone = found.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__gone"))
     left = docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
     again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1 and doc_id is not null").select(F.col("doc_id").alias("__again"))

@@ -61,6 +61,26 @@ def test_jaccard_components(docs, rows):
     assert got == {i: (len(s), label[i]) for i, s in sets.items()}
 
 
+def test_jaccard_counts_every_link(spark, monkeypatch):
+    r = random.Random(12)
+    base = [f"w{i}" for i in range(60)]
+    edited = lambda k: " ".join(x if i not in at else f"n{r.random()}" for at in [r.sample(range(60), k)] for i, x in enumerate(base))
+    texts = [*(edited(k % 3) for k in range(40)), *(" ".join([f"x{k}"] * (k % 3) + ["a", "b", "c", "d", "e", "f", "g", "h", "i", "j", "k", "l"]) for k in range(6)), *(" ".join(f"{k}q{i}" for i in range(30)) for k in range(3)), "", "one two"]
+    rows = [*enumerate(texts), *((100 + k, texts[k]) for k in range(3)), (200, texts[46]), (200, texts[46] + " end")]  # copies; an id with two near sets
+    sets = {t: shingle_set(t) for _, t in rows}
+    linked = lambda a, b: a and b and a != b and 100 * len(a & b) >= 80 * len(a | b)
+    different = set(sets.values())
+    want = {}
+    for i, t in rows:
+        want[i] = max(want.get(i, 0), sum(bool(linked(sets[t], x)) for x in different))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for sets_a_part in (1024, 7):
+        monkeypatch.setattr(ngram_jaccard, "PART_SETS", sets_a_part)
+        assert {x.doc_id: x.n_links for x in ngram_jaccard.jaccard_components(df).collect()} == want
+    assert max(want.values()) > 5 and min(want.values()) == 0
+    assert "n_links" not in ngram_jaccard.jaccard_components(df.limit(3), count_links=False).columns
+
+
 def test_substring_dedup(docs, rows):
     count = Counter()
     split = {r[0]: (r[1] or "").encode().split() for r in rows}

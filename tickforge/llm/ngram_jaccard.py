@@ -12,6 +12,10 @@ while members known to be connected are not compared again. A sketch of about tw
 discards most pairs by its Hamming distance, exact sets decide the rest. Stars are pairs of codes, told apart before they
 meet their sketches.
 
+Links lie within components, so their number is counted there: where the links that joined a component are not all of its
+pairs, each set is compared with each other one of its component that is near enough in size, whole sets with whole sets.
+Large components are dealt by pairs of their parts.
+
 Nulls and texts without words: an empty set, linked with nothing, its own component. Fewer than ``width`` words: the whole
 sequence is the one shingle. Repeated rows of one id: the id appears once in the result, with the size of its largest set,
 and its rows' sets count as linked with each other. Ids are whole numbers; other types are refused by an error. Null ids are
@@ -35,10 +39,12 @@ from ._store import parts_for, small, text_of, written
 
 U = np.uint64
 SKETCH_BITS = (512, 1 << 16)
-FLUSH = 1_500_000
+FLUSH = 400_000
+BUCKET_BYTES = 8 << 20
 LONG_LIST = 4096
 LIST_ROWS = 32_768
 STAR_MEMBERS = 1 << 19
+PART_SETS, PART_MEMBERS = 1024, 1 << 19
 KEY = np.dtype([("a", ">u8"), ("b", ">u8")])
 PARTS = "bucket int, doc_id long, n long, cls binary, sketch binary, sigs binary, owners binary"
 
@@ -157,8 +163,11 @@ def _dealt(percent: int, width: int, buckets: int):
                     rows["sigs"].append(s[i:j].tobytes())
                     rows["owners"].append(key[slot[i:j]].tobytes())
             keys.clear(), sigs.clear(), slots.clear()
+            del key, s, slot, only, order, to
             if rows["bucket"]:
                 yield _batch(rows, len(rows["bucket"]))
+            rows.clear()
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             ids = batch.column(0)
@@ -190,6 +199,7 @@ def _gathered(pdf: pd.DataFrame) -> pd.DataFrame:
         sig, key = np.frombuffer(b"".join(parts["sigs"]), U), np.frombuffer(b"".join(parts["owners"]), U)
         order = np.argsort(sig, kind="stable")
         sig, key = sig[order], key[order]
+        del order, parts
         same = np.flatnonzero(sig[1:] == sig[:-1])
         lists = set()
         if len(same):
@@ -320,6 +330,61 @@ def _verified(percent: int):
     return run
 
 
+def _counted(percent: int):
+    """Of sets of some components, or of two parts of one: how many of the others each is similar enough to."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, rows in pdf.groupby("comp", sort=False):
+            rows = rows.iloc[np.argsort(rows["n"].to_numpy(), kind="stable")]
+            n, side = rows["n"].to_numpy(), (rows["chunk"] == rows["hi"]).to_numpy()
+            within = bool((rows["lo"] == rows["hi"]).iloc[0])
+            first = np.concatenate([[0], np.cumsum(n)])
+            members = np.unique(np.frombuffer(b"".join(rows["members"]), U), return_inverse=True)[1]
+            held, found = np.zeros(int(members.max()) + 1, np.uint8), np.zeros(len(n), np.int64)
+            end = np.searchsorted(n, n * 100 // percent, "right")
+            for i in range(len(n) - 1):
+                j, k = i + 1, int(end[i])
+                if k <= j:
+                    continue
+                own = members[first[i] : first[j]]
+                held[own] = 1
+                shared = np.add.reduceat(held[members[first[j] : first[k]]], first[j:k] - first[j], dtype=np.int64)
+                held[own] = 0
+                linked = 100 * shared >= percent * (n[i] + n[j:k] - shared)
+                if not within:
+                    linked &= side[j:k] != side[i]
+                found[i] += linked.sum()
+                found[j:k] += linked
+            out.append(pd.DataFrame({"cls": rows["cls"].to_numpy(), "n_links": found}))
+        return pd.concat(out)
+
+    return run
+
+
+def _degrees(links: DataFrame, comp: DataFrame, classes: DataFrame, src: DataFrame, percent: int, width: int) -> DataFrame:
+    """(cls, n_links): of each class that is in a component with others, how many of them it links with."""
+    sets = written(comp.withColumnRenamed("id", "cls").join(classes.select("cls", "rep", "n"), "cls"), "joined")
+    held = links.select(F.col("a").alias("cls")).join(sets.select("cls", "comp"), "cls").groupBy("comp").agg(F.count(F.lit(1)).alias("known"))
+    sizes = sets.groupBy("comp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total")).join(held, "comp", "left")
+    sizes = sizes.filter(F.coalesce("known", F.lit(0)) < F.col("size") * (F.col("size") - 1) / 2)
+    cut = F.greatest(F.ceil(F.col("size") / PART_SETS), F.ceil(F.col("total") / PART_MEMBERS)).cast("int")
+    todo = written(sets.join(sizes.select("comp", cut.alias("cut")), "comp"), "open")
+    ends = reduce(DataFrame.union, [links.select(F.col(c).alias("cls")) for c in ("a", "b")]).groupBy("cls").agg(F.count(F.lit(1)).alias("n_links"))
+    load = todo.filter("cut = 1").agg(F.sum("n")).first()[0] or 0
+    if not todo.take(1):
+        return ends
+    texts = src.join(small(todo.select(F.col("cls").alias("asked"), F.col("rep").alias("doc_id"))), "doc_id").select(F.col("asked").alias("cls"), "text")
+    whole = texts.mapInArrow(_sets(width), "cls binary, members binary").dropDuplicates(["cls"])
+    own = F.pmod(F.xxhash64("cls", F.lit(7)), F.col("cut")).cast("int")
+    rows = whole.join(todo.select("cls", "comp", "n", "cut"), "cls").withColumn("chunk", own).withColumn("other", F.explode(F.expr("sequence(0, cut - 1)")))
+    rows = rows.withColumn("lo", F.least("chunk", "other")).withColumn("hi", F.greatest("chunk", "other"))
+    part = F.when(F.col("cut") == 1, F.pmod(F.xxhash64("comp"), F.lit(max(1, load // PART_MEMBERS)))).otherwise(F.xxhash64("comp"))
+    parts = rows.select(part.alias("part"), "lo", "hi", "comp", "chunk", "cls", "n", "members").groupBy("part", "lo", "hi")
+    counted = parts.applyInPandas(_counted(percent), "cls binary, n_links long").groupBy("cls").agg(F.sum("n_links").alias("n_links"))
+    return written(ends.join(todo.select("cls"), "cls", "left_anti").union(counted), "degrees")
+
+
 def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
     """nodes(id), edges(a, b): (id, comp) for the ids that have edges, comp the smallest id connected. Labels pass to
     neighbours and jump to their label's label, so rounds grow with the logarithm of a component's diameter."""
@@ -336,15 +401,15 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFram
     raise RuntimeError("components did not settle")
 
 
-def jaccard_components(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True) -> DataFrame:
     """One row per document: id_col, n_shingles, component_id (smallest id reachable by links of at least percent / 100),
-    class_id (smallest id with the same set) and n_links (classes that this one was found to link with directly; links
-    inside an already known component need not be among them)."""
+    class_id (smallest id with the same set) and, if count_links, n_links (the other sets that this one links with, all of
+    them, each once however many documents have it)."""
     spark = docs.sparkSession
     if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
         raise TypeError(f"{id_col} must be a whole number, not {docs.schema[id_col].dataType.simpleString()}")
     src = text_of(docs, id_col=id_col, text_col=text_col).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).filter("doc_id is not null")
-    buckets = parts_for(spark, src.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    buckets = parts_for(spark, src.agg(F.sum(F.octet_length("text"))).first()[0] or 0, BUCKET_BYTES)
     parts = src.mapInArrow(_dealt(percent, width, buckets), PARTS)
     found = written(parts.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_gathered, LISTS), "blocks")
     rows = found.filter("kind = 0").select("doc_id", "n", "cls", "sketch")
@@ -385,12 +450,12 @@ def jaccard_components(docs: DataFrame, percent: int = 80, width: int = 5, id_co
         rep = classes.select("cls", "rep")
         known = comp.withColumnRenamed("id", "cls").join(rep, "cls")
         smallest = known.groupBy("comp").agg(F.min("rep").alias("component_id"))
-        degree = reduce(DataFrame.union, [links.select(F.col(c).alias("cls")) for c in ("a", "b")]).groupBy("cls").agg(F.count("*").alias("n_links"))
+        degree = _degrees(links, comp, classes, src, percent, width) if count_links else classes.select("cls", F.lit(None).cast("long").alias("n_links"))
         linked = known.join(smallest, "comp").join(degree, "cls", "left").select("cls", "component_id", "n_links")
         named = rep.join(linked, "cls", "left").select("cls", F.col("rep").alias("class_id"), F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     out = ends.join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     out = out.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"), F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
-    return out.select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", "class_id", "n_links")
+    return out.select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", "class_id", *["n_links"] * count_links)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
