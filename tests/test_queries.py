@@ -7,6 +7,7 @@ import pytest
 
 from tickforge import registry
 from tickforge.operators.dedup import Bucket, fifo_dedup
+from tickforge.streaming.ingest import append_batch
 
 DIR = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
@@ -61,6 +62,19 @@ def test_floor_lookup_below_the_newest_256_entries(spark, tmp_path):
     same_as_sql(spark, "seq_floor_lookup", tmp_path)
 
 
+def test_stream_ingest_of_ids_that_come_again_after_the_window(spark, tmp_path):
+    made_events(spark, tmp_path, 10_503, "id % 10501", "1")
+    same_as_sql(spark, "stream_journal_ingest", tmp_path)
+
+
+def test_an_id_in_the_journal_stays_out_of_later_batches(spark, tmp_path):
+    write, cols = append_batch(f"{tmp_path}/journal", once=True), "arrival long, inst_id string, trade_id string"
+    for k, ids in ((0, "aba"), (1, "cbca"), (1, "cbca"), (2, "ad")):  # the second batch is repeated
+        write(spark.createDataFrame([(10 * k + i, "s" if i % 2 else "S", x) for i, x in enumerate(ids)], cols), k)
+    got = spark.read.parquet(f"{tmp_path}/journal").collect()
+    assert sorted((x.seq, x.arrival, x.trade_id) for x in got) == [(1, 0, "a"), (2, 1, "b"), (3, 10, "c"), (4, 21, "d")]
+
+
 def test_flagship(spark):
     assert registry.flagship(spark, DIR).count() > 0
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.ticks import symbol_key
 from ..operators import journal
-from ..operators.dedup import Bucket
+from ..operators.dedup import Bucket, first_seen
 from ..operators.ordered import sequenced
 from ..schemas import LIMITS, ticks_of_events
 from ..sources.journal import journal_stream
@@ -37,12 +37,23 @@ def deduplicated(ticks: DataFrame, window: int) -> DataFrame:
     return ticks.withColumn("__key", symbol_key(F.col("inst_id"))).groupBy("__key").applyInPandasWithState(run, kinds, "ids array<string>", "append", GroupStateTimeout.NoTimeout)
 
 
-def append_batch(path: str):
+def unseen(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """The first tick of each id that no batch before this one has put into the journal at path."""
+    rows = first_seen(batch)
+    if not batch_id:
+        return rows
+    journal_rows = batch.sparkSession.read.schema("inst_id string, trade_id string, part long").parquet(path).filter(F.col("part") < batch_id)
+    held = journal_rows.select(symbol_key(F.col("inst_id")).alias("__key"), F.col("trade_id").alias("__id")).distinct()
+    return rows.join(held, symbol_key(F.col("inst_id")).eqNullSafe(F.col("__key")) & F.col("trade_id").eqNullSafe(F.col("__id")), "left_anti")
+
+
+def append_batch(path: str, once: bool = False):
     """A foreachBatch writer: sequence numbers follow the tip that the batch before left in its own small table; a repeated
-    batch replaces its own folders."""
+    batch replaces its own folders. once: ids that are in the journal already are left out."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = unseen(batch, path, batch_id) if once else batch
         base = spark.read.parquet(f"{path}-tips/part={batch_id - 1}").first()["seq"] if batch_id else 0
         rows = sequenced(batch, "arrival", base).withColumn("batch", F.lit(batch_id))
         rows.write.mode("overwrite").parquet(f"{path}/part={batch_id}")
@@ -62,13 +73,15 @@ def state_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def ingest_available(spark: SparkSession, sf_dir: str, window: int = LIMITS.dedup_window) -> DataFrame:
-    """All events now there, through the stream into a journal in the shared folder, which is returned."""
+def ingest_available(spark: SparkSession, sf_dir: str, window: int | None = LIMITS.dedup_window) -> DataFrame:
+    """All events now there, through the stream into a journal in the shared folder, which is returned. window None: an id
+    never comes again; what was seen is the journal itself, not keyed state."""
     base = f"{state_dir(spark)}/{uuid.uuid4().hex}"
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    stream = deduplicated(ticks_of_events(events), window)
-    q = stream.writeStream.foreachBatch(append_batch(f"{base}/journal")).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")  # as a pattern it may be a file or a folder
+    ticks = ticks_of_events(events)
+    stream = ticks if window is None else deduplicated(ticks, window)
+    q = stream.writeStream.foreachBatch(append_batch(f"{base}/journal", window is None)).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(f"{base}/journal")
 
