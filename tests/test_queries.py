@@ -52,7 +52,7 @@ def unpriced(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["explode_trades", "monotone_replay", "quarantine_report", "trade_contract", "dead_letters", "skip_episodes", "stream_tail_follow", "torn_tail_reasons"])
+@pytest.mark.parametrize("name", ["explode_trades", "monotone_replay", "quarantine_report", "trade_contract", "dead_letters", "skip_episodes", "stream_tail_follow", "torn_tail_reasons", "parse_classify_outcomes"])
 def test_events_whose_price_no_tick_can_have(spark, unpriced, name):
     same_as_sql(spark, name, unpriced)
 
