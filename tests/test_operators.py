@@ -1,6 +1,7 @@
 """Operators on small tables of their own: odd orders, strict JSON, torn files, streams with restarts, sinks."""
 
 import json
+import os
 import random
 
 import pytest
@@ -269,6 +270,22 @@ def test_follower_restarts_behind_its_cursor(spark, tmp_path):
         Follower(spark, str(segments), str(tmp_path / "state"), writer).run(most_errors=2, sleep=lambda s: None)
 
 
+def test_follower_takes_segments_by_name_whenever_they_were_written(spark, tmp_path):
+    segments, seen = tmp_path / "segments", []
+    segments.mkdir()
+    names = ["1.jsonl", "2 [a]%20{b}.jsonl", "3.jsonl", "4+é.jsonl", "5.jsonl"]
+    for k, name in enumerate(names):  # the last name was written first
+        (segments / name).write_text("\n".join([record(2 * k), "{bad", record(2 * k + 1)]) + "\n")
+        os.utime(segments / name, (1_700_000_000 - 60 * k,) * 2)
+    follow = lambda: Follower(spark, str(segments), str(tmp_path / "state"), lambda batch, k: seen.extend((k, r.seq) for r in batch.orderBy("seq").collect()), 1, files_per_trigger=2).run()
+    follow()
+    assert seen == [(seq // 4, seq) for seq in range(1, 10)]
+    (segments / "6.jsonl").write_text("\n".join([record(9), record(10)]) + "\n")
+    follow()
+    assert seen[9:] == [(3, 10)]
+    assert spark.read.json(str(tmp_path / "state" / "quarantine")).count() == 5
+
+
 def test_sinks(spark, tmp_path):
     batch = spark.createDataFrame([(k, "ab"[k % 2]) for k in range(10)], "seq long, inst_id string")
     null, told, kept = sinks.Counting(), [], []

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,7 +27,16 @@ def journal_lines(spark: SparkSession, path: str, start_offset: int = 0) -> Data
     return out.filter(F.col("byte_offset") >= start_offset) if start_offset else out
 
 
-def journal_stream(spark: SparkSession, folder: str, files_per_trigger: int = 16) -> DataFrame:
+def segment_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """line and file of the segments of these files, named as ``file`` names them: encoded as in an address, and no patterns."""
+    plain = [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(name)) for name in files]
+    return spark.read.option("lineSep", "\n").text(plain).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+
+
+def journal_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = 16) -> DataFrame:
     """A stream of the lines of a folder's segment files as they come: line and file. Segments are whole when they appear (a
-    writer commits them), so no line is torn. files_per_trigger bounds what is in flight."""
-    return spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", files_per_trigger).text(folder).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    writer commits them), so no line is torn. files_per_trigger bounds what is in flight; Spark then takes the files written
+    first, whatever their names. None: all that are new."""
+    stream = spark.readStream.option("lineSep", "\n")
+    stream = stream if files_per_trigger is None else stream.option("maxFilesPerTrigger", files_per_trigger)
+    return stream.text(folder).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))

@@ -7,6 +7,7 @@ import tempfile
 import time
 import uuid
 from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.errors import StreamingQueryException
@@ -19,7 +20,7 @@ from ..operators import journal
 from ..operators.dedup import Bucket, first_seen
 from ..operators.ordered import sequenced
 from ..schemas import LIMITS, ticks_of_events
-from ..sources.journal import journal_stream
+from ..sources.journal import journal_stream, segment_lines
 
 
 def deduplicated(ticks: DataFrame, window: int) -> DataFrame:
@@ -88,31 +89,48 @@ def ingest_available(spark: SparkSession, sf_dir: str, window: int | None = LIMI
 
 class Follower:
     """A tail: journal lines of a folder's segments as they come, good records of them in order to a writer, bad lines to the
-    dead letters. The cursor is the highest seq passed on, kept in a small table of each batch, so a restart goes on behind it
-    and a repeated batch gives the same rows."""
+    dead letters. Segments go by name: the source hands over all that are new, since those it would choose itself are the ones
+    written first, and segments that are written side by side or copied have times in any order. They are taken
+    files_per_trigger at a time, each such part with its own number for the writer. The cursor is the highest seq passed on,
+    kept in a small table of each batch, so a restart goes on behind it and a repeated batch gives the same parts and rows."""
 
     def __init__(self, spark: SparkSession, folder: str, base: str, writer: Callable[[DataFrame, int], None], start_seq: int = 0, files_per_trigger: int = 16):
         self.spark, self.folder, self.base, self.writer, self.start_seq, self.files = spark, folder, base, writer, start_seq, files_per_trigger
 
+    def _left_by(self, batch_id: int):
+        return self.spark.read.parquet(f"{self.base}/cursor/part={batch_id}").first()
+
     def cursor_before(self, batch_id: int) -> int:
-        return self.spark.read.parquet(f"{self.base}/cursor/part={batch_id - 1}").first()["last_processed_seq"] if batch_id else self.start_seq - 1
+        return self._left_by(batch_id - 1)["last_processed_seq"] if batch_id else self.start_seq - 1
+
+    def parts_before(self, batch_id: int) -> int:
+        """The number of the batch's first part; a cursor that names none was left by batches of one part."""
+        left = self._left_by(batch_id - 1) if batch_id else ()
+        return left["parts"] if "parts" in left else batch_id
 
     def _batch(self, batch: DataFrame, batch_id: int) -> None:
-        before = self.cursor_before(batch_id)
-        numbered = batch.select("line", "file", F.monotonically_increasing_id().alias("__id"))
-        order = numbered.select("file").distinct().orderBy("file").limit(self.files + 1).collect()  # segments of one batch
-        place = {r["file"]: k for k, r in enumerate(order)}
-        rank = F.element_at(F.create_map(*[F.lit(x) for kv in place.items() for x in kv]), F.col("file")) if place else F.lit(0)
+        at, part = self.cursor_before(batch_id), self.parts_before(batch_id)
+        names = sorted((r["file"] for r in batch.select("file").distinct().collect()), key=unquote)  # a row a segment
+        for k in range(0, max(1, len(names)), self.files):
+            some = names[k : k + self.files]
+            at, part = self._part(batch if len(names) <= self.files else segment_lines(self.spark, some), some, at, part), part + 1
+        cursor = self.spark.range(1).select(F.lit(at).cast("long").alias("last_processed_seq"), F.lit(part).cast("long").alias("parts"))
+        cursor.write.mode("overwrite").parquet(f"{self.base}/cursor/part={batch_id}")
+
+    def _part(self, rows: DataFrame, names: list[str], before: int, part: int) -> int:
+        """Lines of the segments of these names through to the writer; the cursor behind them."""
+        numbered = rows.select("line", "file", F.monotonically_increasing_id().alias("__id"))
+        rank = F.element_at(F.create_map(*[F.lit(x) for k, name in enumerate(names) for x in (name, k)]), F.col("file")) if names else F.lit(0)
         lines = numbered.select("line", (rank.cast("long") * (1 << 56) + F.col("__id")).alias("line_no"), F.lit(True).alias("complete"))
-        journal.dead_letters(lines, F.unix_millis(F.current_timestamp())).write.mode("overwrite").json(f"{self.base}/quarantine/part={batch_id}")
+        journal.dead_letters(lines, F.unix_millis(F.current_timestamp())).write.mode("overwrite").json(f"{self.base}/quarantine/part={part}")
         good = journal.replay(lines, before + 1)
-        good.write.mode("overwrite").parquet(f"{self.base}/passed/part={batch_id}")
-        passed = self.spark.read.schema(good.schema).parquet(f"{self.base}/passed/part={batch_id}")
-        self.writer(passed, batch_id)
-        passed.agg(F.coalesce(F.max("seq"), F.lit(before)).cast("long").alias("last_processed_seq")).write.mode("overwrite").parquet(f"{self.base}/cursor/part={batch_id}")
+        good.write.mode("overwrite").parquet(f"{self.base}/passed/part={part}")
+        passed = self.spark.read.schema(good.schema).parquet(f"{self.base}/passed/part={part}")
+        self.writer(passed, part)
+        return passed.agg(F.coalesce(F.max("seq"), F.lit(before)).cast("long")).first()[0]
 
     def start(self, **trigger):
-        stream = journal_stream(self.spark, self.folder, self.files)
+        stream = journal_stream(self.spark, self.folder, None)
         return stream.writeStream.foreachBatch(self._batch).option("checkpointLocation", f"{self.base}/checkpoint").trigger(**(trigger or {"availableNow": True})).start()
 
     def run(self, most_errors: int = LIMITS.poll_errors, poll_ms: int = LIMITS.poll_ms, backoff_ms: int = LIMITS.poll_backoff_ms, sleep: Callable[[float], None] = time.sleep) -> None:
