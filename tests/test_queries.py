@@ -66,7 +66,7 @@ def untimed(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["monotone_replay", "stream_tail_follow", "trade_contract", "quarantine_report", "dead_letters", "parse_classify_outcomes", "skip_episodes"])
+@pytest.mark.parametrize("name", ["monotone_replay", "stream_tail_follow", "trade_contract", "quarantine_report", "dead_letters", "parse_classify_outcomes", "skip_episodes", "torn_tail_reasons"])
 def test_events_whose_time_no_tick_can_have(spark, untimed, name):
     same_as_sql(spark, name, untimed)
 
